@@ -26,6 +26,16 @@ def first_per(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colum
     return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
 
 
+def latest_events(changes: DataFrame, keys: Sequence[str], ts: str = "ts_ms") -> DataFrame:
+    """Newest event per business key, deletes included, in the columns of the feed.
+
+    The key is read from ``after``, or for a delete from ``before``.
+    """
+    named = changes.withColumns({f"_key{i}": F.coalesce(f"after.{k}", f"before.{k}") for i, k in enumerate(keys)})
+    newest = first_per(named, [f"_key{i}" for i in range(len(keys))], _newest_first(named, ts))
+    return newest.select(*changes.columns)
+
+
 def latest_images(changes: DataFrame, keys: Sequence[str], ts: str = "ts_ms") -> DataFrame:
     """Latest ``after`` image per business key.
 
@@ -34,16 +44,8 @@ def latest_images(changes: DataFrame, keys: Sequence[str], ts: str = "ts_ms") ->
     a delete cannot name its key, so deletes are merely skipped.
     """
     if "before" in changes.columns:
-        named = changes.select(
-            "op",
-            ts,
-            "after",
-            *[F.coalesce(f"after.{k}", f"before.{k}").alias(f"_key{i}") for i, k in enumerate(keys)],
-            *[c for c in ("log_offset",) if c in changes.columns],
-        )
-        newest = first_per(named, [f"_key{i}" for i in range(len(keys))], _newest_first(named, ts))
-        return newest.where(F.col("op") != "d").select("after.*")
-    alive = images(changes, keep=[c for c in (ts, "log_offset", "op", "after") if c in changes.columns])
+        return latest_events(changes, keys, ts).where(F.col("op") != "d").select("after.*")
+    alive = changes.where(F.col("op") != "d")
     newest = first_per(alive, [F.col(f"after.{k}") for k in keys], _newest_first(alive, ts))
     return newest.select("after.*")
 
@@ -56,7 +58,6 @@ def latest_rows(changes: DataFrame, keys: Sequence[str], ts: str = "ts_ms") -> D
     return first_per(alive, keys, order).drop(ts)
 
 
-def images(changes: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
+def images(changes: DataFrame) -> DataFrame:
     """Every image that is not a delete, updates included: for tables that are not reduced per key."""
-    alive = changes.where(F.col("op") != "d")
-    return alive.select("after.*") if keep is None else alive.select(*keep)
+    return changes.where(F.col("op") != "d").select("after.*")

@@ -15,6 +15,7 @@ from weirstone.operators.calendar import calendar, date_spine
 from weirstone.operators.keys import UNKNOWN, UNKNOWN_KEY, surrogate_key, with_unknown
 from weirstone.operators.latest import first_per
 from weirstone.operators.lookups import resolve
+from weirstone.operators.sets import distinct_values
 from weirstone.plans.silver import Build
 
 NO_ZIP = "00000"
@@ -84,21 +85,12 @@ def dim_product(products: DataFrame) -> DataFrame:
     return _dimension(rows, "product_sk", "product_id", unknown)
 
 
-def _distinct_values(column: str, *frames: DataFrame) -> DataFrame:
-    """Distinct non-NULL values of a column over several frames, each reduced before the union."""
-    values = [frame.select(column).where(F.col(column).isNotNull()).distinct() for frame in frames]
-    union = values[0]
-    for more in values[1:]:
-        union = union.union(more)
-    return union.distinct()
-
-
 def dim_device(sessions: DataFrame, orders: DataFrame) -> DataFrame:
-    return _dimension(_distinct_values("device", sessions, orders), "device_sk", "device", {"device": UNKNOWN})
+    return _dimension(distinct_values("device", sessions, orders), "device_sk", "device", {"device": UNKNOWN})
 
 
 def dim_traffic_source(sessions: DataFrame, orders: DataFrame) -> DataFrame:
-    sources = _distinct_values("source", sessions, orders).withColumnRenamed("source", "traffic_source")
+    sources = distinct_values("source", sessions, orders).withColumnRenamed("source", "traffic_source")
     return _dimension(sources, "source_sk", "traffic_source", {"traffic_source": UNKNOWN})
 
 
