@@ -86,6 +86,11 @@ def half_up(part: str, whole: str, digits: int) -> str:
     )
 
 
+def rounded(expression: str, digits: int) -> str:
+    """A double rounded half up on its shortest decimal text, as Spark's round does."""
+    return f"cast(round(cast(cast({expression} as varchar) as decimal(38,18)), {digits}) as double)"
+
+
 def cents(column: str) -> str:
     return f"cast(round({column} * 100) as bigint)"
 
@@ -214,7 +219,7 @@ PARTS: dict[str, str] = {
     "s_olist_order_items": f"""
         select order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value,
             price + freight_value as total_item_value,
-            case when price > 0 then {half_up(cents('freight_value'), cents('price'), 4)} end as freight_ratio
+            case when price > 0 then {rounded('freight_value / price', 4)} end as freight_ratio
         from (select trim(order_id) as order_id, order_item_id, trim(product_id) as product_id,
                 trim(seller_id) as seller_id, {seconds_stamp('shipping_limit_date')} as shipping_limit_date,
                 cast(price as double) as price, cast(freight_value as double) as freight_value
@@ -222,7 +227,7 @@ PARTS: dict[str, str] = {
     "s_olist_order_payments": f"""
         select order_id, payment_sequential, payment_type, payment_installments, payment_value,
             case when payment_installments > 0
-                then {half_up(cents('payment_value'), 'payment_installments * 100', 2)}
+                then {rounded('payment_value / payment_installments', 2)}
                 else payment_value end as installment_value,
             coalesce(payment_installments > 1, false) as is_installment_payment
         from (select trim(order_id) as order_id, payment_sequential, upper(trim(payment_type)) as payment_type,
@@ -434,4 +439,6 @@ def over(query: str) -> str:
     visit(query)
     if not needed:
         return query
+    if query.lstrip().startswith("with "):
+        query = ", " + query.lstrip().removeprefix("with ")
     return "with " + ", ".join(f"{name} as ({PARTS[name]})" for name in needed) + " " + query

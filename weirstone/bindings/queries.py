@@ -371,10 +371,10 @@ def order_derived_dates(ws: Workspace) -> DataFrame:
 
 
 @query(
-    f"""select {_LINE}, case when p > 0 then {oracle.half_up('q', 'p', 4)} end as freight_ratio,
-        case when n > 0 then {oracle.half_up('p', 'n * 100', 2)} else p / 100.0 end as installment_value
-        from (select *, {oracle.cents('l_extendedprice')} as p, {oracle.cents('l_quantity')} as q,
-              case l_returnflag when 'A' then cast(l_quantity as int) when 'N' then 0 end as n from lineitem) l"""
+    f"""select {_LINE}, case when l_extendedprice > 0
+            then {oracle.rounded('l_quantity / l_extendedprice', 4)} end as freight_ratio,
+        case when n > 0 then {oracle.rounded('l_extendedprice / n', 2)} else l_extendedprice end as installment_value
+        from (select *, case l_returnflag when 'A' then cast(l_quantity as int) when 'N' then 0 end as n from lineitem) l"""
 )
 def guarded_ratios(ws: Workspace) -> DataFrame:
     price, quantity = F.col("l_extendedprice"), F.col("l_quantity")
@@ -416,7 +416,7 @@ def _user_events(ws: Workspace) -> DataFrame:
     )
 
 
-_NEWEST = "row_number() over (partition by user_id order by epoch_ms(ts) desc, event_id desc)"
+_NEWEST = "row_number() over (partition by user_id order by epoch_us(ts) // 1000 desc, event_id desc)"
 _USER = "user_id, event_id, event_type, value"
 
 

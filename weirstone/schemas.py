@@ -21,7 +21,7 @@ class SourceTable:
 
     @property
     def columns(self) -> list[str]:
-        return self.typed.fieldNames()
+        return [column.split()[0] for column in self.ddl.split(", ")]
 
     @property
     def image(self) -> T.StructType:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from weirstone.layout import Lake
 from weirstone.schemas import SOURCE_TABLES, TABLE_OF_TOPIC, SourceTable
+from weirstone.session import side_by_side
 from weirstone.sources.tables import replace_table
 
 # A reader returns at least (topic, value); with an ``offset`` column too,
@@ -90,22 +91,28 @@ def ingest_table(spark: SparkSession, lake: Lake, reader: TopicReader, table: st
 
 
 def ingest(
-    spark: SparkSession, lake: Lake, reader: TopicReader, topics: Iterable[str] | None = None
+    spark: SparkSession,
+    lake: Lake,
+    reader: TopicReader,
+    topics: Iterable[str] | None = None,
+    parallel: int = 4,
 ) -> DataFrame:
-    """Ingest the topics one by one; a failing topic does not stop the others.
+    """Ingest the topics, a few at a time; a failing topic does not stop the others.
 
     Returns one row per topic: (topic, status, rows, error) with status
     ``loaded``, ``empty`` or ``failed``. An unknown topic raises at once.
     """
     names = list(SOURCE_TABLES) if topics is None else [TABLE_OF_TOPIC[topic] for topic in topics]
-    outcomes = []
-    for name in names:
+
+    def outcome(name: str) -> tuple[str, str, int | None, str | None]:
         topic = SOURCE_TABLES[name].topic
         try:
             rows = ingest_table(spark, lake, reader, name)
-            outcomes.append((topic, "empty" if rows is None else "loaded", rows, None))
         except Exception as problem:  # isolation between topics is the point
-            outcomes.append((topic, "failed", None, str(problem)[:500]))
+            return topic, "failed", None, str(problem)[:500]
+        return topic, "empty" if rows is None else "loaded", rows, None
+
+    outcomes = side_by_side(outcome, names, parallel)
     return spark.createDataFrame(outcomes, "topic STRING, status STRING, rows BIGINT, error STRING")
 
 
