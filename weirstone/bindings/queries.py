@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirstone.bindings import oracle, quality_sql, reports_sql
-from weirstone.bindings.feeds import DuckDialect, SparkDialect, change_events, messages
+from weirstone.bindings.feeds import DuckDialect, SparkDialect
 from weirstone.bindings.workspace import Workspace
 from weirstone.functions import cleaning as clean
 from weirstone.functions import parsing as parse
@@ -97,7 +97,7 @@ def _shown(part: str, table: str) -> str:
 
 def _bronze(table: str, ws: Workspace) -> DataFrame:
     """Topic text -> decoded events, flattened for display."""
-    decoded = changes.decode(messages(table, ws.samples()), table)
+    decoded = changes.decode(ws.topic(table), table)
     sides = [
         F.col(f"{side}.{column}").alias(f"{side}_{column}")
         for side in ("before", "after")
@@ -633,7 +633,8 @@ def metrics_rows(ws: Workspace) -> DataFrame:
     lake = Lake(ws.scratch("metrics"))
     tables.replace_table(ws.spark, lake, ws.sample("orders"), "silver", "olist_orders")
     tables.replace_table(ws.spark, lake, ws.sample("customer"), "silver", "olist_customers")
-    tables.record_metric(ws.spark, lake, "gold", "dim_date", 0, 0.1, "failed", "no such table; " * 100)
+    failure = tables.metric("gold", "dim_date", 0, 0.1, "failed", "no such table; " * 100)
+    tables.record_metrics(ws.spark, lake, [failure])
     metrics = lake.load(ws.spark, lake.metrics_path)
     error_length = F.length("error_message").alias("error_length")
     return metrics.select("layer", "table_name", "status", "row_count", error_length)
@@ -771,7 +772,7 @@ def pipeline_run(ws: Workspace) -> DataFrame:
     changes.require_all_loaded(changes.ingest(ws.spark, lake, ws.read_topic))
     outcome = pipeline.run(ws.spark, lake, enforce_gates=False)
     rows = [(layer, table, count) for (layer, table), count in outcome.rows.items()]
-    return ws.spark.createDataFrame(rows, "layer STRING, table_name STRING, row_count BIGINT")
+    return tables.few_rows(ws.spark, rows, "layer STRING, table_name STRING, row_count BIGINT")
 
 
 _STREAMED = "olist_customers"
@@ -780,7 +781,7 @@ _STREAMED = "olist_customers"
 def _arrivals(ws: Workspace) -> str:
     """The topic as files in which later events may come before earlier ones."""
     folder = ws.scratch("topic")
-    shuffled = messages(_STREAMED, ws.samples()).repartition(6, F.xxhash64("value"))
+    shuffled = ws.topic(_STREAMED).repartition(6, F.xxhash64("value"))
     shuffled.write.json(folder)
     return folder
 

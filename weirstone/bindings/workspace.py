@@ -42,12 +42,20 @@ class Workspace:
     def sample(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def samples(self) -> dict[str, DataFrame]:
-        return {name: self.sample(name) for name in SAMPLES}
+    def spread_sample(self, name: str) -> DataFrame:
+        """A sample for per-row work as heavy as JSON: a table kept in fewer files
+        than there are cores is dealt out over the cores first."""
+        df = self.sample(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+    def topic(self, table: str) -> DataFrame:
+        """The messages of one table's topic."""
+        return messages(table, {name: self.spread_sample(name) for name in SAMPLES})
 
     def read_topic(self, spark: SparkSession, topic: str) -> DataFrame:
         """The topic reader handed to ingestion."""
-        return messages(TABLE_OF_TOPIC[topic], self.samples())
+        return self.topic(TABLE_OF_TOPIC[topic])
 
     def ensure(self, layer: str, table: str) -> None:
         if (layer, table) in self._built:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from weirstone.layout import Lake
 from weirstone.session import side_by_side
-from weirstone.sources.tables import append_log
+from weirstone.sources.tables import append_log, few_rows
 
 log = logging.getLogger(__name__)
 
@@ -133,7 +133,7 @@ def result_rows(spark: SparkSession, layer: str, results: Sequence[Result]) -> D
     """Results as log rows; there are a few per table, whatever the tables hold."""
     now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     rows = [(layer, r.table, r.check, r.passed, r.detail, now) for r in results]
-    return spark.createDataFrame(rows, LOG_SCHEMA)
+    return few_rows(spark, rows, LOG_SCHEMA)
 
 
 def log_results(spark: SparkSession, lake: Lake, layer: str, results: Sequence[Result]) -> None:

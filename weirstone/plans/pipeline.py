@@ -14,7 +14,7 @@ from weirstone.plans.gold import GOLD
 from weirstone.plans.rules import CHECKS
 from weirstone.plans.silver import SILVER, Build
 from weirstone.session import side_by_side
-from weirstone.sources.tables import replace_table
+from weirstone.sources.tables import record_metrics, replace_table
 
 log = logging.getLogger(__name__)
 
@@ -31,11 +31,13 @@ class Outcome:
     gates: dict[str, bool] = field(default_factory=dict)
 
 
-def build_table(spark: SparkSession, lake: Lake, layer: str, table: str) -> int:
+def build_table(
+    spark: SparkSession, lake: Lake, layer: str, table: str, metrics: list[tuple] | None = None
+) -> int:
     """Read a table's inputs from the lake, build it and replace it; returns the rows written."""
     build = BUILDS[layer][table]
     inputs = [lake.read(spark, *source) for source in build.inputs]
-    return replace_table(spark, lake, build.function(*inputs), layer, table)
+    return replace_table(spark, lake, build.function(*inputs), layer, table, metrics)
 
 
 def waves(layer: str) -> Iterator[list[str]]:
@@ -57,10 +59,14 @@ def build_layer(spark: SparkSession, lake: Lake, layer: str, parallel: int = 4)
     Several jobs at once keep the executors busy while small tables finish
     their last tasks.
     """
-    rows = {}
-    for group in waves(layer):
-        counts = side_by_side(lambda table: build_table(spark, lake, layer, table), group, parallel)
-        rows |= {(layer, table): count for table, count in zip(group, counts)}
+    rows: dict[tuple[str, str], int] = {}
+    metrics: list[tuple] = []
+    try:
+        for group in waves(layer):
+            counts = side_by_side(lambda table: build_table(spark, lake, layer, table, metrics), group, parallel)
+            rows |= {(layer, table): count for table, count in zip(group, counts)}
+    finally:
+        record_metrics(spark, lake, metrics)
     return rows
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from weirstone.layout import Lake
 from weirstone.schemas import SOURCE_TABLES, TABLE_OF_TOPIC, SourceTable
 from weirstone.session import side_by_side
-from weirstone.sources.tables import replace_table
+from weirstone.sources.tables import few_rows, record_metrics, replace_table
 
 # A reader returns at least (topic, value); with an ``offset`` column too,
 # changes of one key that share a millisecond keep their log order.
@@ -80,14 +80,16 @@ def decode(messages: DataFrame, table: str) -> DataFrame:
     return parsed.select("topic", either("before"), either("after"), either("op"), either("ts_ms"), "log_offset")
 
 
-def ingest_table(spark: SparkSession, lake: Lake, reader: TopicReader, table: str) -> int | None:
+def ingest_table(
+    spark: SparkSession, lake: Lake, reader: TopicReader, table: str, metrics: list[tuple] | None = None
+) -> int | None:
     """Replace one bronze table from its topic; an empty topic leaves the table alone (None)."""
     if table not in SOURCE_TABLES:
         raise KeyError(f"unknown topic or table: {table}")
     messages = reader(spark, SOURCE_TABLES[table].topic)
     if messages.isEmpty():
         return None
-    return replace_table(spark, lake, decode(messages, table), "bronze", table)
+    return replace_table(spark, lake, decode(messages, table), "bronze", table, metrics)
 
 
 def ingest(
@@ -104,16 +106,21 @@ def ingest(
     """
     names = list(SOURCE_TABLES) if topics is None else [TABLE_OF_TOPIC[topic] for topic in topics]
 
+    metrics: list[tuple] = []
+
     def outcome(name: str) -> tuple[str, str, int | None, str | None]:
         topic = SOURCE_TABLES[name].topic
         try:
-            rows = ingest_table(spark, lake, reader, name)
+            rows = ingest_table(spark, lake, reader, name, metrics)
         except Exception as problem:  # isolation between topics is the point
             return topic, "failed", None, str(problem)[:500]
         return topic, "empty" if rows is None else "loaded", rows, None
 
-    outcomes = side_by_side(outcome, names, parallel)
-    return spark.createDataFrame(outcomes, "topic STRING, status STRING, rows BIGINT, error STRING")
+    try:
+        outcomes = side_by_side(outcome, names, parallel)
+    finally:
+        record_metrics(spark, lake, metrics)
+    return few_rows(spark, outcomes, "topic STRING, status STRING, rows BIGINT, error STRING")
 
 
 def require_all_loaded(summary: DataFrame) -> None:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import logging
 import threading
 import time
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,36 +16,41 @@ from weirstone.layout import Lake
 
 log = logging.getLogger(__name__)
 
+# Columns of the metrics table.
 METRIC_SCHEMA = (
     "run_id STRING, layer STRING, table_name STRING, row_count BIGINT, duration_sec DOUBLE, "
     "status STRING, error_message STRING, recorded_at STRING"
 )
 ERROR_LENGTH = 500
 
+_ARROW_TYPES = {"STRING": pa.string(), "BIGINT": pa.int64(), "DOUBLE": pa.float64(), "BOOLEAN": pa.bool_()}
+
 # Two appends into one parquet folder share its commit staging area, so
 # threads of one driver take turns.
 _append_turn = threading.Lock()
 
 
+def few_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A handful of driver-made rows (log lines, summaries) as a local relation."""
+    fields = [column.split() for column in schema.split(", ")]
+    columns = {
+        name: pa.array([row[i] for row in rows], _ARROW_TYPES[kind]) for i, (name, kind) in enumerate(fields)
+    }
+    return spark.createDataFrame(pa.table(columns))
+
+
 def append_log(lake: Lake, rows: DataFrame, path: str) -> None:
     """Append a few log rows as one file."""
     with _append_turn:
         rows.coalesce(1).write.format(lake.storage).mode("append").save(path)
 
 
-def record_metric(
-    spark: SparkSession,
-    lake: Lake,
-    layer: str,
-    table: str,
-    row_count: int,
-    seconds: float,
-    status: str = "success",
-    error: str = "",
-) -> None:
-    """Append one metric row. A broken metrics store must not break the job, so nothing is raised."""
+def metric(
+    layer: str, table: str, row_count: int, seconds: float, status: str = "success", error: str = ""
+) -> tuple:
+    """One row of the metrics table, stamped now."""
     now = datetime.now(timezone.utc)
-    row = (
+    return (
         now.isoformat(),
         layer,
         table,
@@ -53,32 +60,45 @@ def record_metric(
         error[:ERROR_LENGTH],
         now.strftime("%Y-%m-%d %H:%M:%S"),
     )
+
+
+def record_metrics(spark: SparkSession, lake: Lake, metrics: Sequence[tuple]) -> None:
+    """Append metric rows. A broken metrics store must not break the job, so nothing is raised."""
+    if not metrics:
+        return
     try:
-        append_log(lake, spark.createDataFrame([row], METRIC_SCHEMA), lake.metrics_path)
+        append_log(lake, few_rows(spark, metrics, METRIC_SCHEMA), lake.metrics_path)
     except Exception:
-        log.warning("metric for %s.%s not recorded", layer, table, exc_info=True)
+        log.warning("%d metric rows not recorded", len(metrics), exc_info=True)
 
 
-def replace_table(spark: SparkSession, lake: Lake, df: DataFrame, layer: str, table: str) -> int:
+def replace_table(
+    spark: SparkSession, lake: Lake, df: DataFrame, layer: str, table: str, metrics: list[tuple] | None = None
+) -> int:
     """Overwrite a table, data and schema, and record the write. Returns the row count.
 
     The rows are counted by an observation riding on the write itself, so the
-    plan runs once.
+    plan runs once. The metric row is appended at once, or left in ``metrics``
+    for a caller that writes many tables and records them together.
     """
-    return overwrite(spark, lake, df, lake.path(layer, table), layer, table)
-
-
-def overwrite(spark: SparkSession, lake: Lake, df: DataFrame, path: str, layer: str, table: str) -> int:
     started = time.monotonic()
     seen = Observation()
+
+    def record(*outcome) -> None:
+        row = metric(layer, table, *outcome)
+        if metrics is None:
+            record_metrics(spark, lake, [row])
+        else:
+            metrics.append(row)
+
     try:
         writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(lake.storage).mode("overwrite")
         if lake.storage == "delta":
             writer = writer.option("overwriteSchema", "true")
-        writer.save(path)
+        writer.save(lake.path(layer, table))
         rows = seen.get["rows"]
     except Exception as problem:
-        record_metric(spark, lake, layer, table, 0, time.monotonic() - started, "failed", str(problem))
+        record(0, time.monotonic() - started, "failed", str(problem))
         raise
-    record_metric(spark, lake, layer, table, rows, time.monotonic() - started)
+    record(rows, time.monotonic() - started)
     return rows
