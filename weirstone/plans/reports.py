@@ -170,23 +170,16 @@ def sales_by_category(gold: Gold, k: int = 10) -> DataFrame:
 # -- clickstream --------------------------------------------------------------
 
 
-def _sessions_per_event_type(gold: Gold) -> DataFrame:
-    return (
-        gold("fact_clickstream_events")
-        .groupBy("event_type")
-        .agg(F.count_distinct("session_sk").alias("unique_sessions"), F.count("event_sk").alias("total_events"))
-    )
-
-
 def funnel_analysis(gold: Gold, entry_event: str = "PAGE_VIEW") -> DataFrame:
     """Sessions and events per type, and sessions relative to those that viewed a page.
 
-    The denominator is one of the groups, so it is taken from the grouped
-    result as a scalar subquery; its shuffle is the one the groups use.
+    The denominator is a scalar subquery whose filter reaches the scan; where
+    nobody entered the rate is NULL.
     """
-    steps = _sessions_per_event_type(gold)
-    entered = steps.agg(
-        F.max(F.when(F.col("event_type") == entry_event, F.col("unique_sessions"))).alias("entered")
+    events = gold("fact_clickstream_events")
+    entered = events.where(F.col("event_type") == entry_event).agg(F.count_distinct("session_sk"))
+    steps = events.groupBy("event_type").agg(
+        F.count_distinct("session_sk").alias("unique_sessions"), F.count("event_sk").alias("total_events")
     )
     measured = steps.withColumn(
         "conversion_rate_pct", money.percent(F.col("unique_sessions"), entered.scalar())
@@ -195,8 +188,8 @@ def funnel_analysis(gold: Gold, entry_event: str = "PAGE_VIEW") -> DataFrame:
 
 
 def sessions_by_event_type(gold: Gold) -> DataFrame:
-    steps = _sessions_per_event_type(gold).select("event_type", "unique_sessions")
-    return _top(steps, "unique_sessions", "event_type")
+    steps = gold("fact_clickstream_events").groupBy("event_type")
+    return _top(steps.agg(F.count_distinct("session_sk").alias("unique_sessions")), "unique_sessions", "event_type")
 
 
 def session_analytics(gold: Gold, k: int = 10) -> DataFrame:
