@@ -553,6 +553,26 @@ def csv_load(ws: Workspace) -> DataFrame:
     return serving.iso_text(files.read_csv(ws.spark, folder, "olist_orders"))
 
 
+@query(
+    """select 'R' || cast(o_orderkey // 2 as varchar) as review_id,
+        min('O' || cast(o_orderkey as varchar)) as order_id from orders group by 1"""
+)
+def csv_seed_first_of_duplicates(ws: Workspace) -> DataFrame:
+    """A review file in which every review id comes twice, loaded as a source table."""
+    folder, target = ws.scratch("seed"), ws.scratch("source")
+    ws.sample("orders").selectExpr(
+        "'R' || cast(o_orderkey div 2 as string) as review_id",
+        "'O' || cast(o_orderkey as string) as order_id",
+        "cast(floor(o_totalprice / 100000) as int) + 1 as review_score",
+        "o_orderpriority as review_comment_title",
+        '''concat('said "', o_orderstatus, '", then left') as review_comment_message''',
+        "date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') as review_creation_date",
+        "cast(null as string) as review_answer_timestamp",
+    ).write.options(header=True, escape='"').csv(f"{folder}/{files.CSV_FILES['olist_order_reviews']}")
+    files.seed(ws.spark, folder, target, ["olist_order_reviews"])
+    return ws.spark.read.parquet(f"{target}/olist_order_reviews").select("review_id", "order_id")
+
+
 @query(
     """select c_custkey as custkey, -1 as orderkey from customer where c_acctbal < 0
        union all select o_custkey, min(o_orderkey) from orders
@@ -769,8 +789,9 @@ def dq_broken_and_empty(ws: Workspace) -> DataFrame:
 def pipeline_run(ws: Workspace) -> DataFrame:
     """Topics -> bronze -> silver -> gold in a new lake, gates recorded but not enforced."""
     lake = Lake(ws.scratch("run"))
-    changes.require_all_loaded(changes.ingest(ws.spark, lake, ws.read_topic))
-    outcome = pipeline.run(ws.spark, lake, enforce_gates=False)
+    changes.require_all_loaded(changes.ingest(ws.spark, lake, ws.read_topic, parallel=8))
+    outcome = pipeline.run(ws.spark, lake, enforce_gates=False, parallel=8)
+    ws.adopt(lake)
     rows = [(layer, table, count) for (layer, table), count in outcome.rows.items()]
     return tables.few_rows(ws.spark, rows, "layer STRING, table_name STRING, row_count BIGINT")
 
@@ -867,3 +888,12 @@ def adhoc_capped(ws: Workspace) -> DataFrame:
     text = """SELECT status_category, primary_payment_type, count(*) AS items FROM weirstone_fact_orders
         GROUP BY status_category, primary_payment_type ORDER BY items DESC, status_category, primary_payment_type"""
     return serving.run_select(ws.spark, text, limit=7)
+
+
+@query(
+    """select '{"customer_state":' || coalesce('"' || customer_state || '"', 'null') || ',"count":' || n || '}' as row
+       from (select customer_state, cast(count(*) as varchar) as n from s_olist_customers group by customer_state) s"""
+)
+def result_json_rows(ws: Workspace) -> DataFrame:
+    counts = reports.customers_per_state(ws.stored("silver", "olist_customers"), k=1000)
+    return serving.json_rows(counts)

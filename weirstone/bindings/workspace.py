@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from weirstone.bindings.feeds import messages
-from weirstone.layout import Lake
+from weirstone.layout import LAYERS, Lake
 from weirstone.plans.pipeline import BUILDS, build_table
 from weirstone.schemas import TABLE_OF_TOPIC
 from weirstone.session import configure, shared_folder
@@ -57,6 +57,12 @@ class Workspace:
         """The topic reader handed to ingestion."""
         return self.topic(TABLE_OF_TOPIC[topic])
 
+    def adopt(self, lake: Lake) -> None:
+        """Use a lake that has just been built completely, if nothing is built here yet."""
+        if not self._built:
+            self.lake = lake
+            self._built = {(layer, table) for layer, names in LAYERS.items() for table in names}
+
     def ensure(self, layer: str, table: str) -> None:
         if (layer, table) in self._built:
             return

@@ -161,3 +161,8 @@ def iso_text(df: DataFrame) -> DataFrame:
         return column
 
     return df.select(*[shaped(field) for field in df.schema])
+
+
+def json_rows(df: DataFrame) -> DataFrame:
+    """One JSON object per row, NULL fields kept, dates as ISO text."""
+    return iso_text(df).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))

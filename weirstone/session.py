@@ -12,11 +12,16 @@ from pyspark.sql import SparkSession
 
 # Runtime-settable choices every job relies on. Shuffle width is left to the
 # cluster: AQE coalesces small partitions and splits skewed join partitions.
+# A columnar file is several times smaller than its rows in memory, so file
+# sizes are scaled before they are held against the broadcast threshold; and
+# a shuffled join whose partitions turn out small skips its sorts.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.sources.fileCompressionFactor": "3.0",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32MB",
 }
 
 

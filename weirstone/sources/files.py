@@ -11,6 +11,26 @@ from pyspark.sql import functions as F
 from weirstone.schemas import SOURCE_TABLES
 
 
+# CSV file of each table in a seeding folder.
+CSV_FILES = {
+    "olist_customers": "olist_customers_dataset.csv",
+    "olist_sellers": "olist_sellers_dataset.csv",
+    "olist_products": "olist_products_dataset.csv",
+    "olist_orders": "olist_orders_dataset.csv",
+    "olist_order_items": "olist_order_items_dataset.csv",
+    "olist_geolocation": "olist_geolocation_dataset.csv",
+    "olist_order_payments": "olist_order_payments_dataset.csv",
+    "olist_order_reviews": "olist_order_reviews_dataset.csv",
+    "product_category_translation": "product_category_name_translation.csv",
+    "click_customers": "customers.csv",
+    "click_products": "products.csv",
+    "click_sessions": "sessions.csv",
+    "click_orders": "orders.csv",
+    "click_order_items": "order_items.csv",
+    "click_events": "events.csv",
+    "click_reviews": "reviews.csv",
+}
+
 # Tables whose quoted text may span lines; such files cannot be split, the others can.
 FREE_TEXT_TABLES = {"olist_order_reviews", "click_reviews"}
 
@@ -59,6 +79,23 @@ def insert_if_absent(
     absent_rows(incoming, existing, key, prefer).write.format(storage).mode("append").save(target_path)
 
 
+def seed(
+    spark: SparkSession, folder: str, target: str, tables: Sequence[str] | None = None, storage: str = "parquet"
+) -> list[str]:
+    """Replace typed source tables from a folder of CSV files, parents before children.
+
+    Order reviews may repeat a review id; the first of them is kept. Returns
+    the tables in the order they were loaded.
+    """
+    loaded = [name for name in load_order() if tables is None or name in tables]
+    for name in loaded:
+        rows = read_csv(spark, f"{folder}/{CSV_FILES[name]}", name)
+        if name == "olist_order_reviews":
+            rows = absent_rows(rows, rows.where(F.lit(False)), ["review_id"])
+        rows.write.format(storage).mode("overwrite").save(f"{target}/{name}")
+    return loaded
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values held by more than one row, with their row count."""
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
