@@ -152,7 +152,7 @@ def gate(
     def one(table: str) -> list[Result]:
         return validate_stored(spark, lake, table, lake.path(layer, table), checks[table])
 
-    results = [result for found in side_by_side(one, checks, parallel) for result in found]
+    results = [result for found in side_by_side(spark, one, checks, parallel) for result in found]
     log_results(spark, lake, layer, results)
     log.info("quality of %s: %d checks, %s", layer, len(results), "passed" if passed(results) else "FAILED")
     return passed(results)

@@ -63,7 +63,9 @@ def build_layer(spark: SparkSession, lake: Lake, layer: str, parallel: int = 4)
     metrics: list[tuple] = []
     try:
         for group in waves(layer):
-            counts = side_by_side(lambda table: build_table(spark, lake, layer, table, metrics), group, parallel)
+            counts = side_by_side(
+                spark, lambda table: build_table(spark, lake, layer, table, metrics), group, parallel
+            )
             rows |= {(layer, table): count for table, count in zip(group, counts)}
     finally:
         record_metrics(spark, lake, metrics)

@@ -63,7 +63,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def side_by_side(job: Callable[[Any], Any], items: Iterable[Any], parallel: int = 4) -> list[Any]:
+def side_by_side(
+    spark: SparkSession, job: Callable[[Any], Any], items: Iterable[Any], parallel: int = 4
+) -> list[Any]:
     """Submit independent jobs from a few driver threads; results in the order of the items."""
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        return list(pool.map(inheritable_thread_target(job), items))
+        # wrapped once per item: each job gets its own copy of the local properties
+        running = [pool.submit(inheritable_thread_target(spark)(job), item) for item in items]
+        return [one.result() for one in running]

@@ -117,7 +117,7 @@ def ingest(
         return topic, "empty" if rows is None else "loaded", rows, None
 
     try:
-        outcomes = side_by_side(outcome, names, parallel)
+        outcomes = side_by_side(spark, outcome, names, parallel)
     finally:
         record_metrics(spark, lake, metrics)
     return few_rows(spark, outcomes, "topic STRING, status STRING, rows BIGINT, error STRING")
