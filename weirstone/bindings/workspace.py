@@ -8,14 +8,15 @@ from the tables it needs.
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from weirstone.bindings.feeds import messages
 from weirstone.layout import LAYERS, Lake
-from weirstone.plans.pipeline import BUILDS, build_table
+from weirstone.plans.pipeline import BUILDS, build_table, waves
 from weirstone.schemas import TABLE_OF_TOPIC
-from weirstone.session import configure, shared_folder
+from weirstone.session import configure, shared_folder, side_by_side
 from weirstone.sources.changes import ingest_table
 
 SAMPLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -63,17 +64,27 @@ class Workspace:
             self.lake = lake
             self._built = {(layer, table) for layer, names in LAYERS.items() for table in names}
 
-    def ensure(self, layer: str, table: str) -> None:
+    def _missing(self, layer: str, table: str) -> set[tuple[str, str]]:
+        """The table and everything it is built from, as far as not built yet."""
         if (layer, table) in self._built:
-            return
+            return set()
+        inputs = BUILDS[layer][table].inputs if layer in BUILDS else ()
+        return {(layer, table)}.union(*[self._missing(*needed) for needed in inputs])
+
+    def _build(self, layer: str, table: str) -> None:
         if layer == "bronze":
             ingest_table(self.spark, self.lake, self.read_topic, table)
         else:
-            for needed in BUILDS[layer][table].inputs:
-                self.ensure(*needed)
             build_table(self.spark, self.lake, layer, table)
         self._built.add((layer, table))
 
+    def ensure(self, layer: str, table: str) -> None:
+        missing = self._missing(layer, table)
+        for name in LAYERS if missing else ():
+            for group in waves(name) if name in BUILDS else [LAYERS[name]]:
+                wanted = [one for one in group if (name, one) in missing]
+                side_by_side(self.spark, partial(self._build, name), wanted, parallel=8)
+
     def stored(self, layer: str, table: str) -> DataFrame:
         """The stored table, built first if need be."""
         self.ensure(layer, table)
