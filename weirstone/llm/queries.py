@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirstone.llm import alignment, bottom_k, linear_grouping, nbsvm, secret_scan
+from weirstone.llm import alignment, bottom_k, linear_grouping, nbsvm, ngram_rules, pitman_yor, secret_scan
 from weirstone.llm.runtime import ship
 from weirstone.session import configure
 
@@ -50,6 +50,17 @@ def op4_nb_svm(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_log_ratio_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    trusted = _table(spark, folder, "labels").where("quality = 1")
+    return ngram_rules.rules(docs, ngram_rules.ratios(docs, trusted))
+
+
+def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return pitman_yor.score(docs.select("doc_id", "text", nbsvm.held_out(F.col("doc_id"), 7, 2).alias("held_out")))
+
+
 def op8_linear_grouping(spark: SparkSession, folder: str) -> DataFrame:
     return linear_grouping.pack(_table(spark, folder, "documents"), vocabulary())
 
@@ -64,7 +75,9 @@ def op10_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op3_pitman_yor": op3_pitman_yor,
     "op4_nb_svm": op4_nb_svm,
+    "op6_log_ratio_rules": op6_log_ratio_rules,
     "op8_linear_grouping": op8_linear_grouping,
     "op9_rare_seed_alignment": op9_rare_seed_alignment,
     "op10_bottom_k": op10_bottom_k,
