@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirstone.llm import alignment, bottom_k, linear_grouping, nbsvm, ngram_rules, pitman_yor, secret_scan
+from weirstone.llm import alignment, bottom_k, linear_grouping, nbsvm, ngram_rules, pitman_yor, secret_scan, zip_warc
 from weirstone.llm.runtime import ship
 from weirstone.session import configure
 
@@ -61,6 +61,10 @@ def op3_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     return pitman_yor.score(docs.select("doc_id", "text", nbsvm.held_out(F.col("doc_id"), 7, 2).alias("held_out")))
 
 
+def op5_zip_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return zip_warc.round_trip(_table(spark, folder, "pages"))
+
+
 def op8_linear_grouping(spark: SparkSession, folder: str) -> DataFrame:
     return linear_grouping.pack(_table(spark, folder, "documents"), vocabulary())
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_pitman_yor": op3_pitman_yor,
     "op4_nb_svm": op4_nb_svm,
+    "op5_zip_warc": op5_zip_warc,
     "op6_log_ratio_rules": op6_log_ratio_rules,
     "op8_linear_grouping": op8_linear_grouping,
     "op9_rare_seed_alignment": op9_rare_seed_alignment,
