@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirstone.llm import alignment, bottom_k, linear_grouping, nbsvm, ngram_rules, pitman_yor, secret_scan, zip_warc
+from weirstone.llm import alignment, bottom_k, linear_grouping, nbsvm, ngram_rules, pitman_yor, secret_scan, suffix_levels, zip_warc
 from weirstone.llm.runtime import ship
 from weirstone.session import configure
 
@@ -65,6 +65,10 @@ def op5_zip_warc(spark: SparkSession, folder: str) -> DataFrame:
     return zip_warc.round_trip(_table(spark, folder, "pages"))
 
 
+def op7_suffix_levels(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_levels.remove_repeats(_table(spark, folder, "documents")).drop("kept_text")
+
+
 def op8_linear_grouping(spark: SparkSession, folder: str) -> DataFrame:
     return linear_grouping.pack(_table(spark, folder, "documents"), vocabulary())
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_nb_svm": op4_nb_svm,
     "op5_zip_warc": op5_zip_warc,
     "op6_log_ratio_rules": op6_log_ratio_rules,
+    "op7_suffix_levels": op7_suffix_levels,
     "op8_linear_grouping": op8_linear_grouping,
     "op9_rare_seed_alignment": op9_rare_seed_alignment,
     "op10_bottom_k": op10_bottom_k,
