@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirstone.llm import alignment, bottom_k, linear_grouping, nbsvm, ngram_rules, pitman_yor, secret_scan, suffix_levels, zip_warc
+from weirstone.llm import alignment, bottom_k, linear_grouping, nbsvm, ngram_rules, pitman_yor, secret_scan, separator_scan, suffix_levels, zip_warc
 from weirstone.llm.runtime import ship
 from weirstone.session import configure
 
@@ -25,6 +25,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_separator_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return separator_scan.count(_table(spark, folder, "documents"), vocabulary())
+
+
 def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
 
@@ -82,6 +86,7 @@ def op10_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_separator_scan": op1_separator_scan,
     "op2_secret_scan": op2_secret_scan,
     "op3_pitman_yor": op3_pitman_yor,
     "op4_nb_svm": op4_nb_svm,
