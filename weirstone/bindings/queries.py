@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -826,14 +827,14 @@ def stream_bronze_append(ws: Workspace) -> DataFrame:
 # -- parameterised access ---------------------------------------------------------------
 
 
-def _filtered(template: str, filters: dict, limit: int, ws: Workspace) -> DataFrame:
+def _filtered(template: str, filters: dict, limit: int | None, ws: Workspace) -> DataFrame:
     return serving.run_template(ws.gold, template, filters, limit)
 
 
 def _templates() -> None:
-    region = reports_sql.SQL["q03_revenue_by_region"]
+    region = re.sub(r" limit \d+$", "", reports_sql.SQL["q03_revenue_by_region"])
     device = reports_sql.SQL["q08_device_performance"]
-    session = reports_sql.SQL["q07_session_analytics"]
+    session = re.sub(r" limit \d+$", "", reports_sql.SQL["q07_session_analytics"])
     cases = {
         "template_filter_exact": ("revenue_by_region", {"region": "NORDESTE", "state": ""}, region, "region = 'NORDESTE'"),
         "template_filter_gte": ("device_performance", {"total_orders_gte": "300"}, device, "total_orders >= 300"),
@@ -854,8 +855,12 @@ def _templates() -> None:
         "template_filter_in": ("session_analytics", {"traffic_source_in": "EMAIL, GOOGLE"}, session,
                                "traffic_source in ('EMAIL', 'GOOGLE')"),
     }
+    cases["template_filter_below_top"] = (
+        "revenue_by_region", {"region": "NORTE"}, region, "region = 'NORTE'"
+    )
+    cases["template_unlimited"] = ("revenue_by_region", {}, region, "true")
     for name, (template, filters, sql, where) in cases.items():
-        add(name, partial(_filtered, template, filters, 1000), f"select * from ({sql}) t where {where}")
+        add(name, partial(_filtered, template, filters, None), f"select * from ({sql}) t where {where}")
     add(
         "template_limit",
         partial(_filtered, "session_analytics", {}, 3),

@@ -117,10 +117,10 @@ def installment(amount: Column, count: Column) -> Column:
 
 
 def product_of(*columns: Column) -> Column:
-    """Product as bigint, NULL if any factor is; wide so large boxes cannot wrap."""
+    """Product as bigint, NULL if any factor is or if it does not fit."""
     result = columns[0].cast("bigint")
     for column in columns[1:]:
-        result = result * column.cast("bigint")
+        result = F.try_multiply(result, column.cast("bigint"))
     return result
 
 

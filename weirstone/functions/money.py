@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 
 def cents(column: Column) -> Column:
-    return F.rint(column * 100).cast("bigint")
+    return F.rint(column * 100).try_cast("bigint")  # what no bigint holds is NULL and does not stop a report
 
 
 def total(column: Column) -> Column:
@@ -42,4 +42,4 @@ def mean_of(cents_sum: Column, count: Column, digits: int | None = None) -> Colu
 
 
 def mean(column: Column, digits: int | None = None) -> Column:
-    return mean_of(F.sum(cents(column)), F.count(column), digits)
+    return mean_of(F.sum(cents(column)), F.count(cents(column)), digits)

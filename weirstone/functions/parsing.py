@@ -38,7 +38,9 @@ def whole32(column: Column) -> Column:
 
 
 def real(column: Column) -> Column:
-    return column.try_cast("double")
+    """Number from text; NaN and the infinities are no amounts and become NULL, as garbage does."""
+    value = column.try_cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def flag(column: Column) -> Column:

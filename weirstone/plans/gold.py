@@ -150,14 +150,18 @@ def fact_orders(
     """One row per order item; the payment total of the order is repeated on each of its items.
 
     Everything that depends on the order alone (customer, payments) is joined
-    to the orders first. The items, the largest input, then shuffle once on
-    order_id, and that join is the last one on order_id, so adaptive execution
-    is free to split an order that holds a large share of the items.
+    to the orders first. The items, the largest input, then meet them on the
+    order_id and its hash: the second key makes both sides shuffle directly
+    under the join, which is what adaptive execution needs to split an order
+    that holds a large share of the items. Lookups of dimensions too large to
+    broadcast shuffle the rows once more each.
     """
     per_order = _orders_with_customer(orders, customers, dim_customer).join(
         _payments_per_order(payments), "order_id", "left"
     )
-    lines = items.drop("processed_at").join(per_order, "order_id")
+    hashed = F.xxhash64("order_id")
+    lines = items.drop("processed_at").withColumn("_order", hashed)
+    lines = lines.join(per_order.withColumn("_order", hashed), ["order_id", "_order"]).drop("_order")
     lines = resolve(lines, dim_seller, "seller_id", "seller_id", {"seller_sk": "seller_sk"})
     lines = resolve(lines, dim_product, "product_id", "product_id", {"product_sk": "product_sk"})
     rows = lines.select(
@@ -177,7 +181,7 @@ def fact_orders(
         "actual_delivery_days",
         "delivery_delay_days",
         F.coalesce("total_payment_value", F.lit(0.0)).alias("total_payment_value"),
-        F.coalesce("payment_installments", F.lit(0)).cast("int").alias("payment_installments"),
+        F.coalesce("payment_installments", F.lit(0)).try_cast("int").alias("payment_installments"),
         F.coalesce("primary_payment_type", F.lit(UNKNOWN)).alias("primary_payment_type"),
         "order_purchase_timestamp",
         "order_approved_at",
