@@ -36,8 +36,11 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         chosen = F.filter("secrets", lambda s: s["kind"].isin(*kinds))
         return F.concat_ws(",", F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
+    def number(kind: str) -> F.Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = secret_scan.KINDS[:3]
-    counts = [F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    counts = [number(kind) for kind in base]
     return secret_scan.scan(docs).select(
         "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(secret_scan.KINDS).alias("spans")
     )
