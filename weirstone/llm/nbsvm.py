@@ -115,7 +115,7 @@ def _class_counts(rows: DataFrame) -> np.ndarray:
         )
 
     partial = rows.mapInArrow(count, "feature long, bad long, good long")
-    total = partial.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toPandas()
+    total = partial.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).toArrow().to_pandas()
     out = np.zeros((2, SIZE + 1), np.int64)
     out[:, total.feature.to_numpy(np.int64)] = total[["bad", "good"]].to_numpy(np.int64).T
     return out
@@ -186,7 +186,7 @@ def fit(labelled: DataFrame, sample: int = 4000, smoothing: float = 1.0, cost: f
                 part = batch.column("label").slice(chunk.first, len(chunk))
                 yield pa.RecordBatch.from_arrays([part, pa.array(found, pa.binary())], ["label", "features"])
 
-    local = chosen.mapInArrow(featurise, "label int, features binary").limit(2 * sample).toPandas()
+    local = chosen.mapInArrow(featurise, "label int, features binary").limit(2 * sample).toArrow().to_pandas()
     local = local.sort_values(["features", "label"], ignore_index=True)  # the order of arrival is not the fit's business
     local = local.iloc[np.random.default_rng(11).permutation(len(local))]
     found = [np.frombuffer(x, np.int32) for x in local.features]

@@ -46,7 +46,7 @@ _U = np.uint64
 
 
 def _runs(chunk: Chunk, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(row, first window, last window, anchor, gram hash, context hash) of each run; places are bytes of the row.
+    """(row, first window, last window, gram hash, context hash) of each run; places are bytes of the row.
 
     A text beyond SEGMENT bytes is worked off in overlapping segments; a run cut there counts as two.
     """
@@ -86,25 +86,25 @@ def _runs(chunk: Chunk, length: int, gram: int) -> Iterator[tuple[np.ndarray, ..
         at, owner = anchor[first], row[first]
         context = mix(range_hash(prefix, first, last + length) + (at - first).astype(_U))
         base = chunk.offsets[owner] - low
-        yield owner, first - base, last - base, at - base, grams[at], context
+        yield owner, first - base, last - base, grams[at], context
 
 
 def runs(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(uid, low, high, at, gram, context) of the rows (uid, text)."""
+    """(uid, low, high, gram, context) of the rows (uid, text)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             uid = batch.column("uid").to_numpy()
             for chunk in chunks(batch.column("text")):
-                for owner, low, high, at, name, context in _runs(chunk, length, gram):
+                for owner, low, high, name, context in _runs(chunk, length, gram):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(uid[chunk.first + owner])]
-                        + [pa.array(x.astype(np.int32)) for x in (low, high, at)]
+                        + [pa.array(x.astype(np.int32)) for x in (low, high)]
                         + [pa.array(x.view(np.int64)) for x in (name, context)],
-                        ["uid", "low", "high", "at", "gram", "context"],
+                        ["uid", "low", "high", "gram", "context"],
                     )
 
-    return docs.select("uid", "text").mapInArrow(find, "uid long, low int, high int, at int, gram long, context long")
+    return docs.select("uid", "text").mapInArrow(find, "uid long, low int, high int, gram long, context long")
 
 
 class Family:
@@ -149,21 +149,22 @@ def _windows(rows: DataFrame, length: int, marks: np.ndarray | None) -> DataFram
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if packed is None else np.unpackbits(packed.value).astype(bool)
         for batch in batches:
-            listed = batch.column("runs").to_pylist()
+            lists = batch.column("runs")
+            begin = lists.offsets.to_numpy()
+            fields = {name: lists.values.field(name).to_numpy() for name in ("low", "high", "gram", "context")}
             for chunk in chunks(batch.column("text")):
                 prefix = prefix_hash(chunk.data)
                 for row in range(len(chunk)):
-                    held = listed[chunk.first + row]
-                    low = np.array([r["low"] for r in held], np.int64)
-                    size = np.array([r["high"] for r in held], np.int64) - low + 1
-                    owner = np.repeat(np.arange(len(held)), size)
+                    own = slice(begin[chunk.first + row], begin[chunk.first + row + 1])
+                    low = fields["low"][own].astype(np.int64)
+                    size = fields["high"][own].astype(np.int64) - low + 1
+                    owner = np.repeat(np.arange(len(low)), size)
                     offset = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
                     start = chunk.offsets[row] + low[owner] + offset
                     win = range_hash(prefix, start, start + length).view(np.int64)
                     keep = np.ones(len(win), bool) if bits is None else bits[win % len(bits)]
                     owner, offset, win = owner[keep], offset[keep], win[keep]
-                    gram = np.array([r["gram"] for r in held], np.int64)[owner]
-                    context = np.array([r["context"] for r in held], np.int64)[owner]
+                    gram, context = fields["gram"][own][owner], fields["context"][own][owner]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(win), pa.array(gram), pa.array(context), pa.array(offset.astype(np.int32))],
                         ["win", "gram", "context", "offset"],
