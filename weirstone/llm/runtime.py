@@ -35,9 +35,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """The rows written to the shared folder and read again: short lineage, and nothing is computed twice."""
-    folder = scratch(df.sparkSession, name)
+    folder = folder or scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

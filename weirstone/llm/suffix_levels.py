@@ -15,11 +15,12 @@ windows cover, and how often they occur.
   logarithmically many and an entry is rewritten as often.
 
 Then hits are made exact. A context that occurs twice repeats all windows of
-its run. Where one gram has several contexts, the windows of one run of each
-context are hashed (two independent looks at the bytes: place and content) and
-those found under two contexts repeat as well. A passage in very many documents is a
-count, never a list: contexts and windows are aggregated before they are
-shuffled, and what is gathered per context is at most ``length`` offsets.
+its run. Where one gram has several contexts, the bytes of one run of each
+context meet at the gram; their windows are hashed in the task, and those found
+under two contexts repeat as well. Runs of a gram with more than ``GROUP``
+contexts do not meet: their windows are counted by hash over all tasks, in two
+looks. A passage in very many documents is a count, never a list: contexts are
+aggregated before they are shuffled.
 
 Defined results: null and empty texts have no bytes; texts shorter than
 ``length`` keep all. Repeated rows repeat each other. Matches never cross rows. Hashes are of
@@ -36,12 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weirstone.llm.bottom_k import _marked, _only
-from weirstone.llm.runtime import stored
+from weirstone.llm.runtime import remove, scratch, stored
 from weirstone.llm.textbytes import Chunk, chunks, mix, prefix_hash, range_hash
 
 LENGTH = 200
 GRAM = 32
 SEGMENT = 8 << 20
+GROUP = 2048
 _U = np.uint64
 
 
@@ -111,30 +113,36 @@ class Family:
     """The levels: tables of (gram, context, n), each of a size class, and the grams hit so far."""
 
     def __init__(self) -> None:
-        self.levels: dict[int, DataFrame] = {}
+        self.levels: dict[int, tuple[DataFrame, str]] = {}
         self.hits: DataFrame | None = None
 
     def add(self, batch: DataFrame) -> None:
         """Take in the runs of a new batch."""
-        counted = batch.groupBy("gram", "context").agg(F.count("*").alias("n"))
-        array = stored(counted.sortWithinPartitions("gram", "context"), "suffix-array")
+        array, folder = self._array(batch.groupBy("gram", "context").agg(F.count("*").alias("n")))
         found = array.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
-        for level in self.levels.values():
+        for level, _ in self.levels.values():
             found = found.union(array.join(level.select("gram"), "gram", "left_semi").select("gram"))
         hits = stored(found.distinct(), "hits")
         self.hits = hits if self.hits is None else self.hits.union(hits)
         size = 0
         while size in self.levels:
-            both = self.levels.pop(size).union(array).groupBy("gram", "context").agg(F.sum("n").alias("n"))
-            array = stored(both.sortWithinPartitions("gram", "context"), "suffix-array")
+            level, old = self.levels.pop(size)
+            both, merged = self._array(level.union(array).groupBy("gram", "context").agg(F.sum("n").alias("n")))
+            for done in (old, folder):
+                remove(both.sparkSession, done)
+            array, folder = both, merged
             size += 1
-        self.levels[size] = array
+        self.levels[size] = array, folder
+
+    def _array(self, counted: DataFrame) -> tuple[DataFrame, str]:
+        folder = scratch(counted.sparkSession, "suffix-array")
+        return stored(counted.sortWithinPartitions("gram", "context"), "suffix-array", folder), folder
 
     def matched(self) -> DataFrame:
         """(gram, context, n, contexts) of the entries whose gram occurs more than once."""
         marks = _marked(self.hits)
         entries = None
-        for level in self.levels.values():
+        for level, _ in self.levels.values():
             some = _only(level, marks, ["gram", "context", "n"], "gram")
             entries = some if entries is None else entries.union(some)
         entries = stored(entries.groupBy("gram", "context").agg(F.sum("n").alias("n")), "entries")
@@ -142,35 +150,111 @@ class Family:
         return stored(entries.join(per_gram.where("total > 1").drop("total"), "gram"), "matched")
 
 
-def _windows(rows: DataFrame, length: int, marks: np.ndarray | None) -> DataFrame:
-    """(win, gram, context, offset) of the windows of rows (text, runs)."""
-    packed = None if marks is None else rows.sparkSession.sparkContext.broadcast(np.packbits(marks))
+def _pieces(rows: DataFrame, length: int) -> DataFrame:
+    """(gram, context, contexts, n, uid, low, piece): the bytes that each run of rows (uid, text, runs) covers."""
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if packed is None else np.unpackbits(packed.value).astype(bool)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("runs")
             begin = lists.offsets.to_numpy()
-            fields = {name: lists.values.field(name).to_numpy() for name in ("low", "high", "gram", "context")}
+            uids = batch.column("uid").to_numpy()
             for chunk in chunks(batch.column("text")):
-                prefix = prefix_hash(chunk.data)
-                for row in range(len(chunk)):
-                    own = slice(begin[chunk.first + row], begin[chunk.first + row + 1])
-                    low = fields["low"][own].astype(np.int64)
-                    size = fields["high"][own].astype(np.int64) - low + 1
-                    owner = np.repeat(np.arange(len(low)), size)
-                    offset = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                    start = chunk.offsets[row] + low[owner] + offset
-                    win = range_hash(prefix, start, start + length).view(np.int64)
-                    keep = np.ones(len(win), bool) if bits is None else bits[win % len(bits)]
-                    owner, offset, win = owner[keep], offset[keep], win[keep]
-                    gram, context = fields["gram"][own][owner], fields["context"][own][owner]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(win), pa.array(gram), pa.array(context), pa.array(offset.astype(np.int32))],
-                        ["win", "gram", "context", "offset"],
-                    )
+                own = slice(begin[chunk.first], begin[chunk.first + len(chunk)])
+                fields = {c: lists.values.field(c)[own] for c in ("gram", "context", "contexts", "n", "low", "high")}
+                row = np.repeat(np.arange(len(chunk)), np.diff(begin[chunk.first : chunk.first + len(chunk) + 1]))
+                data = chunk.data.tobytes()
+                low = (chunk.offsets[row] + fields["low"].to_numpy()).tolist()
+                high = (chunk.offsets[row] + fields["high"].to_numpy() + length).tolist()
+                piece = pa.array([data[a:b] for a, b in zip(low, high)], pa.binary())
+                columns = [*(fields[c] for c in ("gram", "context", "contexts", "n")), pa.array(uids[chunk.first + row])]
+                yield pa.RecordBatch.from_arrays([*columns, fields["low"], piece], names)
+
+    names = ["gram", "context", "contexts", "n", "uid", "low", "piece"]
+    schema = "gram long, context long, contexts long, n long, uid long, low int, piece binary"
+    return rows.select("uid", "text", "runs").mapInArrow(cut, schema)
+
+
+def _hashed(pieces: pa.Array | pa.ChunkedArray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the windows of all pieces in order: piece, offset in it, hash."""
+    raw = pieces.to_pylist()
+    sizes = np.array([len(p) for p in raw], np.int64)
+    prefix = prefix_hash(np.frombuffer(b"".join(raw), np.uint8))
+    number = sizes - length + 1
+    owner = np.repeat(np.arange(len(raw)), number)
+    offset = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    start = (np.cumsum(sizes) - sizes)[owner] + offset
+    return owner, offset, range_hash(prefix, start, start + length)
+
+
+def _met(pieces: DataFrame, length: int) -> DataFrame:
+    """(uid, low, high): windows that pieces of one gram share, as ranges; for pieces that occur once.
+
+    A gram's pieces, at most ``GROUP``, lie side by side; each is of another context.
+    """
 
-    return rows.select("text", "runs").mapInArrow(find, "win long, gram long, context long, offset int")
+    def shared(table: pa.Table) -> pa.RecordBatch:
+        owner, offset, win = _hashed(table.column("piece"), length)
+        order = np.argsort(win, kind="stable")
+        equal = win[order[1:]] == win[order[:-1]]
+        hit = np.zeros(len(win), bool)
+        hit[order[1:][equal]] = True
+        hit[order[:-1][equal]] = True
+        hit &= (table.column("n").to_numpy() == 1)[owner]
+        places = np.flatnonzero(hit)
+        new = np.ones(len(places), bool)
+        new[1:] = (np.diff(places) > 1) | (np.diff(owner[places]) > 0)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(places))[: len(first)] - 1
+        piece = owner[places[first]]
+        low = table.column("low").to_numpy()[piece]
+        columns = [
+            pa.array(table.column("uid").to_numpy()[piece], pa.int64()),
+            pa.array((low + offset[places[first]]).astype(np.int32)),
+            pa.array((low + offset[places[last]]).astype(np.int32)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["uid", "low", "high"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([*waiting, batch])
+            grams = table.column("gram").to_numpy()
+            cut = int(np.searchsorted(grams, grams[-1], "left"))
+            if cut:
+                yield shared(table.slice(0, cut))
+            waiting = table.slice(cut).to_batches()
+        if waiting:
+            yield shared(pa.Table.from_batches(waiting))
+
+    together = pieces.select("gram", "n", "uid", "low", "piece").repartition("gram").sortWithinPartitions("gram")
+    return together.mapInArrow(meet, "uid long, low int, high int")
+
+
+def _counted(pieces: DataFrame, length: int) -> DataFrame:
+    """The same as ``_met`` for grams of any number of contexts, one window at a time."""
+
+    def windows(rows: DataFrame, marks: np.ndarray | None) -> DataFrame:
+        packed = None if marks is None else rows.sparkSession.sparkContext.broadcast(np.packbits(marks))
+
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bits = None if packed is None else np.unpackbits(packed.value).astype(bool)
+            for batch in batches:
+                owner, offset, win = _hashed(batch.column("piece"), length)
+                win = win.view(np.int64)
+                keep = np.ones(len(win), bool) if bits is None else bits[win % len(bits)]
+                owner, offset, win = owner[keep], offset[keep], win[keep]
+                columns = [win] + [batch.column(c).to_numpy()[owner] for c in ("context", "uid", "low")]
+                columns[3] = (columns[3] + offset).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["win", "context", "uid", "low"])
+
+        return rows.select("context", "uid", "low", "piece").mapInArrow(find, "win long, context long, uid long, low int")
+
+    per_window = windows(pieces, None).groupBy("win").agg(F.min("context").alias("a"), F.max("context").alias("b"))
+    twice = stored(per_window.where("a <> b").select("win"), "windows")
+    again = windows(pieces.where("n = 1"), _marked(twice)).join(twice, "win")
+    return again.select("uid", "low", F.col("low").alias("high"))
 
 
 def _uid_texts(docs: DataFrame, uids: DataFrame) -> DataFrame:
@@ -181,7 +265,8 @@ def _uid_texts(docs: DataFrame, uids: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame, length: int, gram: int, batches: int) -> DataFrame:
     """(uid, spans): for texts that hold a repeated window, (first window, last window) of the repeats."""
     batch = F.pmod(F.xxhash64("uid"), F.lit(batches))
-    found = stored(runs(docs, length, gram), "runs")
+    spark, folder = docs.sparkSession, scratch(docs.sparkSession, "runs")
+    found = stored(runs(docs, length, gram), "runs", folder)
     family = Family()
     for number in range(batches):
         family.add(found.where(batch == number))
@@ -190,27 +275,21 @@ def repeated_windows(docs: DataFrame, length: int, gram: int, batches: int) -> D
     some = stored(
         _only(found, marks, ["uid", "low", "high", "gram", "context"], "gram").join(matched, ["gram", "context"]), "some"
     )
-    whole = some.where("n > 1").select("uid", F.struct("low", "high").alias("span"))
-    mixed = some.where("contexts > 1")
-    first = mixed.groupBy("gram", "context").agg(F.min(F.struct("uid", "low", "high")).alias("r"))
+    for done in (folder, *(level for _, level in family.levels.values())):
+        remove(spark, done)
+    whole = some.where("n > 1").select("uid", "low", "high")
+    first = some.where("contexts > 1").groupBy("gram", "context", "contexts", "n").agg(F.min(F.struct("uid", "low", "high")).alias("r"))
     listed = stored(
-        first.select("r.uid", F.struct("r.low", "r.high", "gram", "context").alias("run"))
+        first.select("r.uid", F.struct("r.low", "r.high", "gram", "context", "contexts", "n").alias("run"))
         .groupBy("uid")
         .agg(F.collect_set("run").alias("runs")),
         "representatives",
     )
-    texts = _uid_texts(docs, listed.select("uid")).join(listed, "uid").dropDuplicates(["uid"])
-    rows = stored(texts.select("text", "runs"), "texts")
-    context = F.xxhash64("gram", "context").alias("c")
-    twice = _windows(rows, length, None).select("win", context).groupBy("win").agg(F.min("c").alias("a"), F.max("c").alias("b"))
-    twice = stored(twice.where("a <> b").select("win"), "windows")
-    again = _windows(rows, length, _marked(twice)).join(twice, "win")
-    offsets = again.groupBy("gram", "context").agg(F.collect_set("offset").alias("offsets"))
-    single = mixed.where("n = 1").join(offsets, ["gram", "context"])
-    partial = single.select("uid", F.explode("offsets").alias("o"), "low").select(
-        "uid", F.struct((F.col("low") + F.col("o")).alias("low"), (F.col("low") + F.col("o")).alias("high")).alias("span")
-    )
-    return whole.union(partial).groupBy("uid").agg(F.collect_set("span").alias("spans"))
+    texts = _uid_texts(docs, listed.select("uid")).dropDuplicates(["uid"]).join(listed, "uid")
+    pieces = stored(_pieces(texts, length), "pieces")
+    few, many = pieces.where(F.col("contexts") <= GROUP), pieces.where(F.col("contexts") > GROUP)
+    spans = whole.union(_met(few, length)).union(_counted(many, length))
+    return spans.groupBy("uid").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batches: int = 2) -> DataFrame:
