@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from weirstone.llm import nbsvm, queries, secret_scan
+from weirstone.llm import nbsvm, queries, secret_scan, suffix_levels
 from weirstone.llm.linear_grouping import plan
 from weirstone.llm.zip_warc import directory
 
@@ -231,3 +231,26 @@ def test_pipeline(spark, sample, texts):
     assert not any(secret_scan.spans(t) for t in left.values())
     items = spark.read.parquet(f"{sample}/benchmark.parquet").collect()
     assert not any(i.text in t for t in left.values() for i in items)
+
+
+@pytest.mark.parametrize("group", [0, 2])
+def test_repeats_of_grams_with_many_contexts(spark, monkeypatch, group):
+    """Windows counted one by one give what windows that meet at their gram give, and what brute force gives."""
+    draw = np.random.default_rng(3)
+    shared = bytes(draw.integers(97, 123, 700, np.uint8)).decode()
+    rows = []
+    for i in range(12):
+        a, b = sorted(draw.integers(0, 700, 2))
+        rows.append((i, bytes(draw.integers(97, 123, 150, np.uint8)).decode() + shared[a:b] + "é" * (i % 3)))
+    often = Counter(t.encode()[i : i + 200] for _, t in rows for i in range(len(t.encode()) - 199))
+    monkeypatch.setattr(suffix_levels, "GROUP", group)
+    got = {r.doc_id: r for r in suffix_levels.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for doc_id, text in rows:
+        b = text.encode()
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - 199):
+            if often[b[i : i + 200]] > 1:
+                gone[i : i + 200] = True
+        assert got[doc_id].n_removed == gone.sum()
+        assert got[doc_id].kept_sha256 == hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()
+    assert sum(r.n_removed for r in got.values()) > 0
