@@ -200,6 +200,10 @@ def _marked(nodes: DataFrame) -> np.ndarray:
     return np.unpackbits(out).astype(bool)
 
 
+def _held(batch: pa.RecordBatch, bits: np.ndarray, by: str) -> pa.RecordBatch:
+    return batch.filter(pa.array(bits[batch.column(by).fill_null(0).to_numpy() % MARKS]))
+
+
 def _only(df: DataFrame, marks: np.ndarray, columns: list[str], by: str) -> DataFrame:
     """The rows whose column ``by`` is marked."""
     schema = df.select(columns).schema
@@ -208,7 +212,7 @@ def _only(df: DataFrame, marks: np.ndarray, columns: list[str], by: str) -> Data
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(packed.value).astype(bool)
         for batch in batches:
-            yield batch.filter(pa.array(bits[batch.column(by).fill_null(0).to_numpy() % MARKS]))
+            yield _held(batch, bits, by)
 
     return df.select(columns).mapInArrow(keep, schema)
 
@@ -264,11 +268,12 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -
 def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     """(node, text) of the wanted classes: one whole text of each."""
     wanted = stored(reps.join(nodes, "node", "left_semi").select("node", "doc_id"), "wanted")
-    marks = _marked(wanted.select(F.coalesce("doc_id", F.lit(0))))
-    rows = _only(docs, marks, ["doc_id", "text"], "doc_id")
+    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(_marked(wanted.select(F.coalesce("doc_id", F.lit(0))))))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(packed.value).astype(bool)
         for batch in batches:
+            batch = _held(batch, bits, "doc_id")
             for chunk in chunks(batch.column("text")):
                 nodes = [
                     np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)[0] if len(s) else None
@@ -279,7 +284,7 @@ def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, shingle: int) ->
                     [pa.array(nodes, pa.int64()), part.column("doc_id"), part.column("text")], ["node", "id", "text"]
                 )
 
-    named = rows.mapInArrow(name, "node long, id long, text string")
+    named = docs.select("doc_id", "text").mapInArrow(name, "node long, id long, text string")
     found = named.join(wanted, "node").where("id <=> doc_id")
     return found.groupBy("node").agg(F.first("text").alias("text"))
 

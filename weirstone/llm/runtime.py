@@ -17,7 +17,8 @@ _shipped: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application, and have batches of texts kept small."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # whole texts: a batch is some megabytes
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")  # whole texts; a longer one is a batch of its own
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -1,6 +1,6 @@
 """Vector helpers over UTF-8 texts: chunks of a batch, words, shingles and rolling hashes.
 
-A batch of Arrow strings is cut into chunks of about a megabyte (a longer text
+A batch of Arrow strings is cut into chunks of about a quarter megabyte (a longer text
 is a chunk of its own), and every helper works on the bytes of a chunk at once.
 Hashes are polynomials modulo 2**64 with an odd base, so the hash of any range
 follows from two prefix sums; ``mix`` then spreads them over all bits.
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -51,7 +51,7 @@ _powers: dict[int, np.ndarray] = {}
 
 def powers(ratio: int, n: int) -> np.ndarray:
     """ratio**0, ratio**1, ... modulo 2**64; kept for the life of the worker up to a few chunks' length."""
-    if n > 4 * CHUNK_BYTES:
+    if n > 16 * CHUNK_BYTES:
         return _geometric(ratio, n)
     if ratio not in _powers or len(_powers[ratio]) < n:
         _powers[ratio] = _geometric(ratio, max(n, CHUNK_BYTES + 65536))
@@ -93,7 +93,9 @@ def chunks(texts: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES) -> Iterat
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Prefix sums whose differences hash ranges of the bytes; one longer than the data."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers(_BASE, len(data)), out=out[1:])
+    np.take(_BYTE, data, out=out[1:])
+    out[1:] *= powers(_BASE, len(data))
+    np.cumsum(out, out=out)
     return out
 
 
