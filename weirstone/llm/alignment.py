@@ -1,17 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Items are taken in blocks of bounded size (``block_bytes`` of text), each block
-against all documents. For a block
-
-1. one pass counts in how many documents each word n-gram of an item occurs;
-2. of each item the rarer half of its n-grams (``least`` at least) become seeds. Rarity
-   is relative to the item, so an item copied into very many documents keeps its seeds;
-3. a second pass finds the seeds in every document. Hits of one item on nearby
-   diagonals make a passage, which is aligned with the item word by word:
+against all documents in one pass.
+
+1. Every word n-gram of an item is a seed, however rare. An edit takes up to n of
+   them from a copy, and beside an exact copy those are the rarest ones the corpus
+   holds: seeds chosen by rarity would be those that an edited copy has lost.
+2. Hits of one item on nearby diagonals make a passage, as far around them as an
+   alignment at the threshold can drift by its gaps.
+3. A passage whose words leave too low a score whatever their order is passed over,
+   which is most that share a common n-gram. The others are aligned with the item word by word:
    match 2, mismatch -1, gap -1, local. The score is the alignment's share of a full match.
 
-Edited and paraphrased copies keep some seed and most of the score; a passage
-that only shares a phrase scores low. Words are runs of letters and digits, A-Z as a-z.
+So a copy that reaches the threshold is found if n words of it in a row are those of the
+item; a passage that only shares a phrase scores low. Words are runs of letters and digits, A-Z as a-z.
 
 Defined results: null and empty texts, and items of fewer than ``n`` words,
 match nothing. Repeated items are reported each; repeated documents, too. Texts are read whole.
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from weirstone.llm.textbytes import chunks, ngrams, words
 
@@ -62,14 +64,6 @@ class Items:
         distinct, first = np.unique(every[order], return_index=True)
         return Items(ids, found, n, distinct, np.append(first, len(every)), item[order], at[order])
 
-    def only(self, keep: np.ndarray) -> Items:
-        """The same items with some of the n-gram occurrences."""
-        gram = np.repeat(np.arange(len(self.grams)), np.diff(self.first))[keep]
-        held, first = np.unique(gram, return_index=True)
-        return Items(
-            self.ids, self.words, self.n, self.grams[held], np.append(first, len(gram)), self.item[keep], self.at[keep]
-        )
-
 
 def _finder(grams: np.ndarray) -> Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Positions in an array that hold one of the sorted ``grams``, and which: most are turned away by one table look-up."""
@@ -118,6 +112,12 @@ def smith_waterman(item: np.ndarray, passage: np.ndarray, match: int = 2, mismat
     return best, end
 
 
+def _ceiling(words: np.ndarray, others: np.ndarray) -> int:
+    """What no local alignment of the two can exceed: a word that others lack costs 1 wherever it stands inside."""
+    worth = np.append(0, np.cumsum(np.where(np.isin(words, others), 2, -1)))
+    return int((worth - np.minimum.accumulate(worth)).max())
+
+
 def _aligned(text: np.ndarray, at: np.ndarray, which: np.ndarray, items: Items, threshold: float) -> Iterator[tuple[int, float, int, int]]:
     """(item, score, first word, last word + 1): the best passage of a text for each item that reaches the threshold."""
     sizes = items.first[which + 1] - items.first[which]
@@ -129,45 +129,24 @@ def _aligned(text: np.ndarray, at: np.ndarray, which: np.ndarray, items: Items,
     for start, end in zip((0, *new), (*new, len(item))):
         number = int(item[start])
         sought = items.words[number]
-        slack = len(sought) // 2 + 2
+        enough = threshold * 2 * len(sought)
+        slack = int(2 * len(sought) - enough) + 2
         found = np.unique(diagonal[start:end])
         best = (0, 0, 0)
         for group in np.split(found, np.flatnonzero(np.diff(found) > slack) + 1):
             low = max(0, int(group[0]) - slack)
             passage = text[low : int(group[-1]) + len(sought) + slack]
+            if _ceiling(passage, sought) < enough or _ceiling(sought, passage) < enough:
+                continue
             score, stop = smith_waterman(sought, passage)
             if score > best[0]:
                 best = (score, low, stop)
         score, low, stop = best
-        if score >= threshold * 2 * len(sought):
+        if score and score >= enough:
             _, back = smith_waterman(sought[::-1], text[low : low + stop][::-1])
             yield number, score / (2 * len(sought)), low + stop - back, low + stop
 
 
-def _rare(docs: DataFrame, items: Items, least: int) -> Items:
-    """The items with the rarer half of their n-grams, by the documents that hold them."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(shared.value.grams), np.int64)
-        for batch in batches:
-            for _, _, _, which in _hits(batch.column(0), shared.value):
-                total[np.unique(which)] += 1
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["gram", "docs"])
-
-    counted = docs.select("text").mapInArrow(count, "gram long, docs long").groupBy("gram").agg(F.sum("docs").alias("docs"))
-    frequency = np.zeros(len(items.grams), np.int64)
-    for row in counted.collect():  # at most a row per n-gram of the block
-        frequency[row["gram"]] = row["docs"]
-    of = np.repeat(frequency, np.diff(items.first))
-    order = np.lexsort((items.at, of, items.item))
-    sizes = np.bincount(items.item, minlength=len(items.words))
-    rank = np.empty(len(of), np.int64)
-    rank[order] = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return items.only(rank < np.maximum(least, (sizes + 1) // 2)[items.item])
-
-
 def _blocks(items: DataFrame, n: int, block_bytes: int) -> Iterator[Items]:
     ids, texts, size = [], [], 0
     for row in items.select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
@@ -181,13 +160,13 @@ def _blocks(items: DataFrame, n: int, block_bytes: int) -> Iterator[Items]:
         yield Items.of(ids, texts, n)
 
 
-def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = 3, least: int = 6, block_bytes: int = 4 << 20) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = 3, block_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) of documents (doc_id, text) that hold a copy of an item (item_id, text)."""
     schema = "doc_id long, item_id long, score double, first_word long, last_word long"
     docs = docs.select("doc_id", "text")
     out = docs.sparkSession.createDataFrame([], schema)
     for block in _blocks(items, n, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(_rare(docs, block, least))
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             items = shared.value
@@ -208,12 +187,12 @@ def matches(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n:
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = 3, least: int = 6, block_bytes: int = 4 << 20) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = 3, block_bytes: int = 4 << 20) -> DataFrame:
     """The documents, all columns, that hold no copy of any item."""
     names = docs.columns
     out = docs
     for block in _blocks(items, n, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(_rare(docs, block, least))
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
