@@ -1,8 +1,13 @@
 """Cases in which an operator once did less than its whole job, against brute force."""
 
+import math
+import re
+import string
+from collections import Counter
+
 import numpy as np
 
-from weirstone.llm import alignment
+from weirstone.llm import alignment, secret_scan
 from weirstone.llm.runtime import ship
 
 
@@ -47,3 +52,40 @@ def test_edited_copies_beside_an_exact_one(spark):
     assert len(want) > 100
     assert {(r.doc_id, r.item_id): r.score for r in alignment.matches(docs, bench).collect()} == want
     assert {r.doc_id for r in alignment.clean(docs, bench).collect()} == set(range(len(rows))) - {d for d, _ in want}
+
+
+def test_entropy_of_every_window():
+    """Random keys, alone or joined to names, placeholders and UUIDs: what is found is what windows judged one by one give."""
+    draw = np.random.default_rng(7)
+    base64 = string.ascii_letters + string.digits + "+/"
+    uuid = "550e8400-E29b-41d4-A716-446655440000"
+    words = ("sample", "dummy", "QwertyUiop", "0123456789", uuid)
+
+    def key(letters, size):
+        return "".join(draw.choice(list(letters), size))
+
+    texts = [key(base64, draw.integers(32, 89)) for _ in range(300)]
+    texts += [key(base64, 40) + tail for tail in ("/abc", "/a/b", "a/") for _ in range(20)]
+    texts += [f"{key(base64, 30)}-{word}-{key(base64, 30)}" for word in words for _ in range(10)]
+    texts += [f"{key(base64, 30)}_{uuid}" for _ in range(10)]
+    texts += [f"KEY{mark}{key(digits, 64)}" for mark in "=-_" for digits in ("0123456789ABCDEF", "0123456789abcdef")]
+    bare = 0
+    for text in texts:
+        want = {}
+        for run in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+            for at in range(run.start(), run.end() - 19):
+                part = text[at : at + 20]
+                if any(at < m.end() and m.start() < at + 20 for w in words for m in re.finditer(re.escape(w), text, re.I)):
+                    continue
+                bits = -sum(n / 20 * math.log2(n / 20) for n in Counter(part).values())
+                hexadecimal = re.fullmatch("[0-9a-f]+|[0-9A-F]+", part) and not part.isdigit()
+                mixed = all(re.search(c, part) for c in ("[A-Z]", "[a-z]", "[0-9]"))
+                if hexadecimal and bits >= 3 or not hexadecimal and mixed and bits >= 3.8:
+                    want.setdefault("entropy_hex" if hexadecimal else "entropy_base64", set()).update(range(at, at + 20))
+        got = {}
+        for kind, start, end in secret_scan.entropy_spans(text):
+            got.setdefault(kind, set()).update(range(start, end))
+        assert got == want, text
+        bare += not want
+    assert bare < len(texts) / 50  # keys without a digit, say
+    assert not list(secret_scan.entropy_spans(f"Id={uuid} and some/long/Path/of/Words/only/Letters"))

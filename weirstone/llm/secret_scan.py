@@ -5,14 +5,16 @@ end exclusive, by start and then kind in the order of KINDS. Three kinds are
 patterns; the last two come from the entropy of windows:
 
 * candidates are maximal runs of the characters keys are written with;
-* each candidate is judged in its character class, hexadecimal or base 64, by
-  the Shannon entropy of every window of ``window`` characters. Moving a window
-  by one changes two counts, so the sum of c log c is updated, not recomputed;
-* overlapping windows above the threshold of the class join into one span;
-* the allow-list takes back what looks random and is not secret: placeholders,
-  alphabets and other runs of consecutive characters, UUIDs, words and paths
-  (base 64 needs an upper-case letter, a lower-case letter and a digit in the
-  window), and strings the caller names.
+* each window of ``window`` characters is judged by its Shannon entropy, in its
+  own class: hexadecimal inside a run of hexadecimal digits of one case, a letter
+  among them, wherever in the candidate the run stands; else base 64, which needs
+  an upper-case letter, a lower-case letter and a digit in the window, so that
+  words and paths of words are none. Moving a window by one changes two counts,
+  so the sum of c log c is updated, not recomputed;
+* overlapping windows of a class above its threshold join into one span;
+* the allow-list takes back the windows that overlap what looks random and is not
+  secret: placeholders, alphabets and other runs of consecutive characters, UUIDs,
+  and strings the caller names. The other windows of the candidate are judged.
 
 Defined results: null and empty texts hold no secrets. Extra columns stay; a
 column named ``secrets`` is replaced. Each row is judged alone, so repeated
@@ -43,15 +45,14 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-PURE_HEX = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
+HEX_RUNS = (re.compile(r"[0-9a-f]+"), re.compile(r"[0-9A-F]+"))
 
 ALLOW = tuple(
     re.compile(p)
     for p in (
         r"(?i)example|sample|placeholder|changeme|dummy|your[-_]?(?:key|token|secret)",
-        r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\Z",
+        r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])",
         r"(?i)0123456789|abcdefghij|qwertyuiop",
-        r"(?:[A-Za-z]+/)+[A-Za-z]*\Z",
     )
 )
 
@@ -80,27 +81,40 @@ def _mixed(text: str) -> bool:
     return any(c.isupper() for c in text) and any(c.islower() for c in text) and any(c.isdigit() for c in text)
 
 
+def _mark(windows: bytearray, start: int, end: int) -> None:
+    start, end = max(start, 0), min(end, len(windows))
+    if start < end:
+        windows[start:end] = b"\1" * (end - start)
+
+
 def entropy_spans(
     text: str, window: int = 20, hex_bits: float = 3.0, base64_bits: float = 3.8, allow: Iterable[re.Pattern] = ALLOW
 ) -> Iterator[tuple[str, int, int]]:
     for found in CANDIDATE.finditer(text):
         candidate = found[0]
-        hexadecimal = PURE_HEX.match(candidate) is not None
-        if not (hexadecimal and not candidate.isdigit() or _mixed(candidate)):
-            continue
-        if any(pattern.search(candidate) for pattern in allow):
+        windows = max(len(candidate) - window + 1, 0)
+        hexadecimal = bytearray(windows)
+        for runs in HEX_RUNS:
+            for run in runs.finditer(candidate):
+                if len(run[0]) >= window and not run[0].isdigit():
+                    _mark(hexadecimal, run.start(), run.end() - window + 1)
+        if not (any(hexadecimal) or _mixed(candidate)):
             continue
-        kind, bits = ("entropy_hex", hex_bits) if hexadecimal else ("entropy_base64", base64_bits)
-        start = end = -1
+        allowed = bytearray(windows)
+        for pattern in allow:
+            for match in pattern.finditer(candidate):
+                _mark(allowed, match.start() - window + 1, match.end())
+        open_spans: dict[str, tuple[int, int]] = {}
         for at, entropy in enumerate(_entropies(candidate, window)):
-            if entropy < bits or not (hexadecimal or _mixed(candidate[at : at + window])):
+            kind, bits = ("entropy_hex", hex_bits) if hexadecimal[at] else ("entropy_base64", base64_bits)
+            if entropy < bits or allowed[at] or not (hexadecimal[at] or _mixed(candidate[at : at + window])):
                 continue
+            start, end = open_spans.get(kind, (at, at))
             if at > end:
-                if end >= 0:
-                    yield kind, found.start() + start, found.start() + end
+                yield kind, found.start() + start, found.start() + end
                 start = at
-            end = at + window
-        if end >= 0:
+            open_spans[kind] = start, at + window
+        for kind, (start, end) in open_spans.items():
             yield kind, found.start() + start, found.start() + end
 
 
