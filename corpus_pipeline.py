@@ -32,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates. A document without words or without id stays."""
+    """One document of each group of near duplicates. A document without words stays."""
     configure(spark)
     ship(spark)
     return bottom_k.one_of_each(docs)

@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 
-from weirstone.llm import alignment, secret_scan
+from weirstone.llm import alignment, bottom_k, secret_scan
 from weirstone.llm.runtime import ship
 
 
@@ -89,3 +89,40 @@ def test_entropy_of_every_window():
         bare += not want
     assert bare < len(texts) / 50  # keys without a digit, say
     assert not list(secret_scan.entropy_spans(f"Id={uuid} and some/long/Path/of/Words/only/Letters"))
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Ids repeated with other texts, and rows without id: each text is judged for itself, against brute force."""
+    ship(spark)
+    draw = np.random.default_rng(11)
+    texts = []
+    for _ in range(12):
+        words = [f"v{i}" for i in draw.integers(0, 10**6, 60)]
+        texts += [" ".join(words), " ".join([*words, "more"]), " ".join(words).upper()]
+    rows = [(int(draw.integers(1, 15)) if draw.random() < 0.7 else None, t, i % 3) for i, t in enumerate(texts * 2)]
+    a = "a " + texts[0].replace("v", "p")
+    rows += [(103, a + " end", 0), (105, a, 0), (105, "z " + texts[0].replace("v", "q"), 0)]
+    rows += [(None, "copy without an id at all", i) for i in range(3)] + [(105, None, 0), (105, "", 0), (None, None, 0)]
+    rows += [(107, "the very same row twice", 1)] * 2
+
+    def shingles(text):
+        w = (text or "").lower().split()
+        return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+    sets = [shingles(t) for _, t, _ in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more long")
+    got = list(map(tuple, bottom_k.one_of_each(docs).collect()))
+    assert not Counter(got) - Counter(rows)
+    assert sorted(str(r) for r in got if not shingles(r[1])) == sorted(str(r) for r, s in zip(rows, sets) if not s)
+    of = {s: g for s, g in zip(sets, group) if s}
+    least = {}
+    for (doc_id, _, _), s in zip(rows, sets):
+        if s:
+            least[of[s]] = min(least.get(of[s], math.inf), math.inf if doc_id is None else doc_id)
+    left = [(of[shingles(t)], math.inf if d is None else d) for d, t, _ in got if shingles(t)]
+    assert sorted(left) == sorted(least.items())

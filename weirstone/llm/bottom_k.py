@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from weirstone.llm.components import components
 from weirstone.llm.runtime import if_small, stored, width
@@ -447,18 +447,50 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = 75, shingle: int
     )
 
 
+def _with_names(docs: DataFrame, shingle: int) -> DataFrame:
+    """The rows with the name of their shingle set, (__node, __check): null for an empty set."""
+    schema = docs.withColumn("__node", F.lit(None).cast("long")).withColumn("__check", F.lit(None).cast("long")).schema
+    names = docs.columns
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in chunks(batch.column(names.index("text"))):
+                found = [
+                    np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64) if len(s) else (None, None)
+                    for s in shingle_sets(chunk, shingle)
+                ]
+                more = [pa.array([f[i] for f in found], pa.int64()) for i in range(2)]
+                part = batch.slice(chunk.first, len(chunk))
+                yield pa.RecordBatch.from_arrays([*part.columns, *more], [*names, "__node", "__check"])
+
+    return docs.mapInArrow(name, schema)
+
+
 def one_of_each(docs: DataFrame, k: int = K, percent: int = 75, shingle: int = 5) -> DataFrame:
     """The rows of ``docs``, all columns, without the near duplicates of rows that stay.
 
-    Of rows that share an id and stay, the one with the least text stays; rows without id are left alone.
+    Of each component one row stays: that of the least id, before those without id, and
+    of several texts or rows under that id the one of the least set name and row hash.
+    Each text under a repeated id is judged for itself; rows with the empty set all stay.
     """
-    found = stored(near_duplicates(docs, k, percent, shingle).where("doc_id is not null"), "near-duplicates")
-    twice = stored(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    gone = found.where("not kept").select("doc_id")
+    signed, grouped = link(docs, k, percent, shingle)
+    named = signed.select("doc_id", "node", "check").join(grouped, "node", "left")
+    found = stored(named.withColumn("component", F.coalesce("component", "node")), "near-duplicates")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "node", "check")).alias("stay")
+    stay = stored(found.where("node is not null").groupBy("component").agg(least), "kept")
+    same = F.struct("doc_id", "node", "check").eqNullSafe(F.struct("stay.doc_id", "stay.node", "stay.check"))
+    gone = found.where("doc_id is not null").join(stay, "component").where(~same).select("doc_id")
+    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    twice = stored(twice.select("doc_id"), "repeated")
     once = docs.join(if_small(gone.union(twice).distinct()), "doc_id", "left_anti").select(docs.columns)
-    if twice.isEmpty():
+    if twice.isEmpty() and found.where("doc_id is null").isEmpty():
         return once
-    stay = found.where("kept").select("doc_id").join(twice, "doc_id").distinct()
-    order = Window.partitionBy("doc_id").orderBy("text")
-    again = docs.join(if_small(stay), "doc_id", "left_semi").withColumn("__row", F.row_number().over(order))
-    return once.union(again.where("__row = 1").select(docs.columns))
+    again = docs.join(if_small(twice), "doc_id", "left_semi").select(docs.columns)
+    again = _with_names(again.union(docs.where("doc_id is null")), shingle)
+    row = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row")
+    key = [F.col("doc_id").alias("__id"), "__node", "__check"]
+    rows = again.where("__node is not null").groupBy(*key).agg(row)  # a task sends one row of a key, however many it has
+    names = stay.select("stay.*").toDF("without", "id", "node", "check")
+    chosen = rows.join(names, F.expr("__id <=> id and __node = node and __check = check"), "left_semi")
+    empty = again.where("__node is null").select(docs.columns)
+    return once.where("doc_id is not null").union(empty).union(chosen.select("__row.*"))
