@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weirstone.llm import alignment, bottom_k, linear_grouping, nbsvm, ngram_rules, pitman_yor, secret_scan, separator_scan, suffix_levels, zip_warc
+from weirstone.llm import (
+    alignment,
+    bottom_k,
+    linear_grouping,
+    nbsvm,
+    ngram_rules,
+    periodic_runs,
+    pitman_yor,
+    pivot_distance,
+    secret_scan,
+    separator_scan,
+    source_divergence,
+    suffix_levels,
+    zip_warc,
+)
 from weirstone.llm.runtime import ship
 from weirstone.session import configure
 
@@ -88,6 +103,42 @@ def op10_bottom_k(spark: SparkSession, folder: str) -> DataFrame:
     return bottom_k.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op11_pivot_distance(spark: SparkSession, folder: str) -> DataFrame:
+    index = pivot_distance.build(_table(spark, folder, "embeddings"))
+    return pivot_distance.search(index, F.col("vec_id") % 50 == 0, 5, spark)
+
+
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, chosen by id, end in a repetition; a document without id stays as it is."""
+    if doc_id is None or not words or (h := zlib.crc32(str(doc_id).encode())) % 10:
+        return words
+    g, n = h // 10, len(words)
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    return words[:start] + [words[start + i % period] for i in range(n - start)]
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.collapse(_table(spark, folder, "documents"), planted)
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    # the least of (-length, start, period) is the longest run
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"].alias("s"), r["period"].alias("p"))))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.s").alias("start"),
+        (-F.col("best.l")).alias("length"),
+        F.col("best.p").alias("period"),
+        F.expr("(-1000 * best.l) div best.p").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.audit(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": op1_separator_scan,
     "op2_secret_scan": op2_secret_scan,
@@ -99,5 +150,66 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_linear_grouping": op8_linear_grouping,
     "op9_rare_seed_alignment": op9_rare_seed_alignment,
     "op10_bottom_k": op10_bottom_k,
+    "op11_pivot_distance": op11_pivot_distance,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_source_divergence": op13_source_divergence,
+}
+#: Check SQL where SQL can say it; the other queries have brute-force tests.
+SQL: dict[str, str] = {
+    "op11_pivot_distance": """
+        with usable as (
+            select row_number() over () as own, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+            select q.own, q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score, c.own as other
+            from usable q join usable c on q.own <> c.own
+            where q.vec_id % 50 = 0
+        )
+        select query_id, row_number() over (partition by own order by score desc, vec_id, other)::int as rank, vec_id, score
+        from scored
+        qualify rank <= 5
+    """,
+    "op13_source_divergence": r"""
+        with docs as (
+            select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+            from documents
+        ),
+        words as (
+            select d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs
+        ),
+        kept as (select lang, term, count(*) as total from words group by all having count(distinct d) >= 30),
+        v as (select lang, count(*) as v, sum(total) as n from kept group by all),
+        groups as (select distinct lang, source from docs),
+        counted as (select lang, source, term, count(*) as c from words group by all),
+        cells as (
+            select g.lang, g.source, k.term, k.total, coalesce(c.c, 0) as c
+            from groups g join kept k using (lang) left join counted c using (lang, source, term)
+        ),
+        sums as (select lang, source, sum(c) as n from cells group by all),
+        ps as (
+            select lang, source, term, c,
+                   1 + (1000000000 * (c + 5)::hugeint) // (s.n::hugeint + 5 * v.v) as p,
+                   1 + (1000000000 * (total + 5)::hugeint) // (v.n::hugeint + 5 * v.v) as q
+            from cells join sums s using (lang, source) join v using (lang)
+        ),
+        apart as (
+            select a.lang, a.source, b.source as item, sum(abs(a.p - b.p))::bigint as value
+            from ps a join ps b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+        ),
+        pairs as (
+            select g.lang, g.source, 'pair' as part, h.source as item, coalesce(a.value, 0) as value
+            from groups g join groups h on g.lang = h.lang and g.source <> h.source
+            left join apart a on a.lang = g.lang and a.source = g.source and a.item = h.source
+        ),
+        terms as (select lang, source, 'term' as part, term as item, (p - q)::bigint as value from ps where c > 0 and p > q),
+        ranked as (
+            select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+            from (select * from pairs union all select * from terms)
+        )
+        select * from ranked where part = 'pair' or rank <= 50
+    """,
 }
-SQL: dict[str, str] = {}
