@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from weirstone.operators.latest import images, latest_images, latest_rows
 from weirstone.schemas import SOURCE_TABLES
 from weirstone.sources import changes
-from weirstone.streaming.changes import ImageStore, append_bronze, folder_stream, maintain
+from weirstone.streaming.changes import append_bronze, folder_stream
 
 SCHEMA = "op string, ts_ms long, log_offset long, before struct<id:string,value:string>, after struct<id:string,value:string>"
 
@@ -27,19 +27,22 @@ def current(df):
     return {r.id: r.value for r in df.collect()}
 
 
-@pytest.mark.parametrize(
-    "rows, expected",
-    [
-        ([("c", 1, "a", "old"), ("u", 5, "a", "new"), ("r", 1, "b", "only")], {"a": "new", "b": "only"}),
-        ([("r", 1, "a", "v"), ("r", 1, "b", "v"), ("d", 9, "b", None)], {"a": "v"}),
-        ([("r", 1, "a", "v1"), ("d", 2, "a", None), ("c", 3, "a", "v2")], {"a": "v2"}),
-        ([("u", 5, "a", "late"), ("d", 9, "a", None), ("u", 7, "a", "later")], {}),
-        ([("d", 9, "a", None), ("c", 9, "a", "again")], {"a": "again"}),  # one millisecond: log order
-        ([("c", 9, "a", "x"), ("d", 9, "a", None)], {}),
-    ],
-)
-def test_latest_with_before(spark, rows, expected):
-    assert current(latest_images(events(spark, *rows), ["id"])) == expected
+# One key through its life; what is current after each event.
+LIFE = [
+    (("u", 10, "k", "seen late"), {"k": "seen late"}),
+    (("r", 3, "k", "snapshot"), {"k": "seen late"}),
+    (("d", 20, "k", None), {}),
+    (("u", 15, "k", "between"), {}),
+    (("c", 20, "k", "same millisecond"), {"k": "same millisecond"}),
+    (("d", 20, "k", None), {}),
+    (("c", 21, "other", "first"), {"other": "first"}),
+    (("c", 40, "k", "third life"), {"k": "third life", "other": "first"}),
+]
+
+
+@pytest.mark.parametrize("length", range(1, len(LIFE) + 1))
+def test_latest_with_before(spark, length):
+    assert current(latest_images(events(spark, *[event for event, _ in LIFE[:length]]), ["id"])) == LIFE[length - 1][1]
 
 
 def test_latest_without_before_only_skips_deletes(spark):
@@ -149,37 +152,6 @@ def write_messages(spark, folder, history, files):
     spark.createDataFrame(rows, "topic string, value string, offset long").repartition(files).write.json(folder)
 
 
-def test_stream_gives_the_batch_result_whatever_the_arrival_order(spark, tmp_path):
-    dice = random.Random(11)
-    history = [(dice.choice("cuud"), ts, f"k{dice.randrange(6)}", f"v{ts}") for ts in range(60)]
-    history += [("c", 100, "gone", "x"), ("d", 102, "gone", None), ("u", 101, "gone", "old update after the delete")]
-    folder = str(tmp_path / "topic")
-    write_messages(spark, folder, history, files=5)
-    store = ImageStore(str(tmp_path / "store"), ["seller_id"], compact_every=2)
-    maintain(folder_stream(spark, folder, 1), "olist_sellers", store, str(tmp_path / "cp")).awaitTermination()
-    batch = latest_images(changes.decode(changes.folder_reader(str(tmp_path))(spark, "topic"), "olist_sellers"), ["seller_id"])
-    expected = sorted(tuple(r) for r in batch.collect())
-    assert sorted(tuple(r) for r in store.current(spark).collect()) == expected
-    assert "gone" not in {row[0] for row in expected}
-    # new arrivals continue from the checkpoint
-    more = [("c", 500, "new", "n"), ("d", 501, "k1", None)]
-    topic = SOURCE_TABLES["olist_sellers"].topic
-    rows = [(topic, envelope(True, before={"seller_id": k} if op == "d" else None, after=None if op == "d" else {"seller_id": k}, op=op, ts_ms=ts), 0) for op, ts, k, _ in more]
-    spark.createDataFrame(rows, "topic string, value string, offset long").coalesce(1).write.mode("append").json(folder)
-    maintain(folder_stream(spark, folder, 1), "olist_sellers", store, str(tmp_path / "cp")).awaitTermination()
-    keys = {r.seller_id for r in store.current(spark).collect()}
-    assert keys == ({row[0] for row in expected} | {"new"}) - {"k1"}
-
-
-def test_absorbing_a_batch_twice_changes_nothing(spark, tmp_path):
-    store = ImageStore(str(tmp_path / "store"), ["id"], compact_every=2)
-    batches = [events(spark, ("c", 1, "a", "x")), events(spark, ("u", 2, "a", "y"), ("c", 2, "b", "z"))]
-    for number, batch in enumerate(batches):
-        store.absorb(batch, number)
-    store.absorb(batches[1], 1)
-    assert current(store.current(spark)) == {"a": "y", "b": "z"}
-
-
 def test_append_bronze_stream(spark, tmp_path):
     folder = str(tmp_path / "topic")
     write_messages(spark, folder, [("c", 1, "a", "x"), ("d", 2, "a", None)], files=2)

@@ -9,7 +9,7 @@ from weirstone.functions.parsing import whole
 from weirstone.layout import LAYERS, Lake
 from weirstone.operators.calendar import calendar, date_spine
 from weirstone.operators.geo import zip_coordinates
-from weirstone.operators.keys import surrogate_key, with_unknown
+from weirstone.operators.keys import dense_key, surrogate_key, with_unknown
 from weirstone.operators.lookups import resolve
 from weirstone.sources import catalog, files, tables
 
@@ -187,6 +187,30 @@ def test_constraints(spark):
     }
 
 
+def test_constraints_count_every_orphan_once(spark):
+    """A hot reference, repeated parents, NULLs, and a table without a declared key."""
+    orders = spark.createDataFrame([(1, 7), (2, 7), (2, 8), (None, None)], "order_id bigint, customer_id bigint")
+    items = spark.createDataFrame([(1, 5)] * 50 + [(9, 5)] * 40 + [(None, 6), (2, None)], "order_id bigint, product_id bigint")
+    products = spark.createDataFrame([(5,)], "product_id bigint")
+    report = files.constraint_report({"click_orders": orders, "click_order_items": items, "click_products": products})
+    assert sorted((r.table_name, r.constraint_name, r.violations) for r in report.collect()) == [
+        ("click_order_items", "order_id references click_orders", 40),
+        ("click_order_items", "product_id references click_products", 1),
+        ("click_orders", "primary key order_id", 1),
+        ("click_products", "primary key product_id", 0),
+    ]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_dense_keys(spark, tmp_path):
+    spark.range(0, 1000, numPartitions=7).where("id % 9 <> 4").write.parquet(str(tmp_path / "t"))
+    keyed = dense_key(spark.read.parquet(str(tmp_path / "t")), "sk")
+    rows = sorted((r.sk, r.id) for r in keyed.collect())
+    assert [sk for sk, _ in rows] == list(range(1, len(rows) + 1)) and len({i for _, i in rows}) == len(rows)
+    assert "Exchange hashpartitioning(id" not in keyed._jdf.queryExecution().executedPlan().toString()
+
+
 def test_publish(spark, lake):
     spark.range(3).write.parquet(lake.path("gold", "dim_date"))
     assert catalog.publish(spark, lake, "gold", "dim_date", database="pub_test") == (1, 0)

@@ -67,6 +67,37 @@ def test_rules_that_cannot_run(spark):
     assert found(results, "fine").passed and not passed(results)
 
 
+def test_only_the_rule_itself_can_be_broken(spark, monkeypatch):
+    """A failure of the cluster or of a file is no finding about a rule and is raised."""
+    from weirstone.operators import quality
+
+    real, calls = quality._measure, []
+
+    def lost(df, check, rules):
+        calls.append(len(rules))
+        if rules:
+            raise RuntimeError("Job aborted due to stage failure: executor lost")
+        return real(df, check, rules)
+
+    monkeypatch.setattr(quality, "_measure", lost)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        validate("t", ids(spark, 1), Check(("id",), {"fine": F.col("id") > 0}))
+    assert calls == [1]
+
+
+def test_rule_that_fails_on_a_row(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "3")], "id int, v string")
+    rules = {"cast": F.expr("cast(v as int)") > 0, "divided": F.expr("10 / (id - 1)") > 0, "fine": F.col("id") > 0}
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    try:
+        results = validate("t", df, Check(("id",), rules))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+    assert [found(results, name).detail for name in ("cast", "divided")] == ["-1/2 (100.0%)"] * 2
+    assert found(results, "fine").passed
+
+
 def test_row_filter_and_nested_key(spark):
     df = spark.createDataFrame([("c", 1), ("d", None)], "op string, id int")
     assert passed(validate("t", df, Check(("id",), row_filter=F.col("op") != "d")))

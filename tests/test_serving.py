@@ -138,6 +138,10 @@ def test_filters_see_the_whole_report(gold):
         "SELECT reflect('java.lang.System', 'getProperty', 'user.home')",
         "SELECT 1 WHERE EXISTS (SELECT java_method('java.lang.System', 'nanoTime'))",
         "WITH x AS (SELECT try_reflect('java.lang.System', 'nanoTime') AS v) SELECT * FROM x",
+        "SELECT IDENTIFIER('reflect')('java.lang.System', 'getProperty', 'user.home')",
+        "SELECT IDENTIFIER('ref' || 'lect')('java.lang.System', 'nanoTime')",
+        "SELECT * FROM range(3) WHERE id = IDENTIFIER('java_' || 'method')('java.lang.System', 'nanoTime')",
+        "SELECT (SELECT IDENTIFIER('reflect')('java.lang.System', 'nanoTime'))", "SELECT * FROM IDENTIFIER('parquet.`/x`')",
         "SELECT * FROM parquet.`/root/testdata/sf0.001/region.parquet`", "SELECT (SELECT max(a) FROM csv.`x`)",
     ],
 )
@@ -146,6 +150,18 @@ def test_refused_statements(spark, sql):
         serving.run_select(spark, sql)
 
 
+def test_calls_are_found_in_the_analysed_plan_too(spark, monkeypatch):
+    """Whatever slips past the parsed names is refused by what it turned out to be."""
+    monkeypatch.setattr(serving, "objection", lambda *_: None)
+    for sql in (
+        "SELECT IDENTIFIER('reflect')('java.lang.System', 'nanoTime')",
+        "SELECT id FROM range(2) WHERE id IN (SELECT length(reflect('java.lang.System', 'nanoTime')))",
+        "WITH x AS (SELECT java_method('java.lang.System', 'nanoTime') AS v) SELECT max(v) FROM x",
+    ):
+        with pytest.raises(ValueError):
+            serving.run_select(spark, sql)
+
+
 def test_adhoc_select(spark):
     assert serving.run_select(spark, "SELECT id FROM range(2000)").count() == 2000
     assert serving.run_select(spark, " with x as (select id from range(9) order by id limit 5) select * from x; ", 3).count() == 3

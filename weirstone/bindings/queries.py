@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import json
 import re
 from collections.abc import Callable
 from functools import partial, reduce
@@ -13,19 +15,20 @@ from weirstone.bindings import oracle, quality_sql, reports_sql
 from weirstone.bindings.feeds import DuckDialect, SparkDialect
 from weirstone.bindings.workspace import Workspace
 from weirstone.functions import cleaning as clean
+from weirstone.functions import money
 from weirstone.functions import parsing as parse
 from weirstone.layout import GOLD_TABLES, SILVER_TABLES, Lake
 from weirstone.operators.calendar import calendar, date_spine
-from weirstone.operators.keys import surrogate_key, with_unknown
+from weirstone.operators.keys import dense_key, surrogate_key, with_unknown
 from weirstone.operators.latest import images, latest_images, latest_rows
 from weirstone.operators.lookups import resolve
-from weirstone.operators.quality import Check, result_rows, validate, validate_stored
+from weirstone.operators.quality import Check, gate, log_results, result_rows, validate, validate_stored
 from weirstone.operators.sets import distinct_values
 from weirstone.plans import pipeline, reports, serving
 from weirstone.plans.rules import CHECKS
 from weirstone.schemas import SOURCE_TABLES, TABLE_OF_TOPIC
-from weirstone.sources import catalog, changes, files, tables
-from weirstone.streaming.changes import ImageStore, append_bronze, folder_stream, maintain
+from weirstone.sources import catalog, changes, files, tables, topic_log
+from weirstone.streaming.store import EVERY_IMAGE, TopicStore, append_all, maintain_all, whole
 
 Run = Callable[[Workspace], DataFrame]
 
@@ -488,6 +491,14 @@ def surrogate_key_properties(ws: Workspace) -> DataFrame:
     )
 
 
+@query("select count(*) as n_rows, count(*) as n_keys, 1 as least, count(*) as greatest from lineitem")
+def surrogate_key_dense(ws: Workspace) -> DataFrame:
+    keyed = dense_key(ws.sample("lineitem"), "sk")
+    return keyed.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sk").alias("n_keys"), F.min("sk").alias("least"), F.max("sk").alias("greatest")
+    )
+
+
 @query(
     f"""select {oracle.surrogate(['s_suppkey'])} as supplier_sk, s_suppkey, s_name, s_acctbal from supplier
         union all select -1, -1, 'UNKNOWN', null"""
@@ -560,8 +571,21 @@ def csv_load(ws: Workspace) -> DataFrame:
 )
 def csv_seed_first_of_duplicates(ws: Workspace) -> DataFrame:
     """A review file in which every review id comes twice, loaded as a source table."""
+    return _seeded_reviews(ws, F.asc("o_orderkey"))
+
+
+@query(
+    """select 'R' || cast(o_orderkey // 2 as varchar) as review_id,
+        'O' || cast(max(o_orderkey) as varchar) as order_id from orders group by 1"""
+)
+def csv_seed_in_load_order(ws: Workspace) -> DataFrame:
+    """The same file the other way round: the row loaded first is the larger one."""
+    return _seeded_reviews(ws, F.desc("o_orderkey"))
+
+
+def _seeded_reviews(ws: Workspace, order: F.Column) -> DataFrame:
     folder, target = ws.scratch("seed"), ws.scratch("source")
-    ws.sample("orders").selectExpr(
+    ws.sample("orders").orderBy(order).selectExpr(
         "'R' || cast(o_orderkey div 2 as string) as review_id",
         "'O' || cast(o_orderkey as string) as order_id",
         "cast(floor(o_totalprice / 100000) as int) + 1 as review_score",
@@ -605,29 +629,56 @@ def fk_orphans(ws: Workspace) -> DataFrame:
     return files.orphans(ws.sample("orders"), "o_custkey", parents, "c_custkey").select("o_orderkey", "o_custkey")
 
 
-_CONSTRAINED = [t for t in SILVER_TABLES if t != "click_order_items"]
+# The keys and references that the source databases declare, of the tables that reach silver.
+_DECLARED_KEYS = {
+    "olist_customers": "customer_id",
+    "olist_sellers": "seller_id",
+    "olist_products": "product_id",
+    "olist_orders": "order_id",
+    "olist_order_items": "order_id, order_item_id",
+    "olist_order_payments": "order_id, payment_sequential",
+    "olist_order_reviews": "review_id",
+    "click_customers": "customer_id",
+    "click_products": "product_id",
+    "click_sessions": "session_id",
+    "click_orders": "order_id",
+    "click_events": "event_id",
+    "click_reviews": "review_id",
+}
+_DECLARED_REFERENCES = (
+    ("olist_orders", "customer_id", "olist_customers"),
+    ("olist_order_items", "order_id", "olist_orders"),
+    ("olist_order_items", "product_id", "olist_products"),
+    ("olist_order_items", "seller_id", "olist_sellers"),
+    ("olist_order_payments", "order_id", "olist_orders"),
+    ("olist_order_reviews", "order_id", "olist_orders"),
+    ("click_sessions", "customer_id", "click_customers"),
+    ("click_orders", "customer_id", "click_customers"),
+    ("click_order_items", "order_id", "click_orders"),
+    ("click_order_items", "product_id", "click_products"),
+    ("click_events", "session_id", "click_sessions"),
+    ("click_reviews", "order_id", "click_orders"),
+    ("click_reviews", "product_id", "click_products"),
+)
 
 
 def _constraint_sql() -> str:
-    found = []
-    for table in _CONSTRAINED:
-        source = SOURCE_TABLES[table]
-        key = ", ".join(source.key)
-        found.append(
-            f"select '{table}' as table_name, 'primary key {key}' as constraint_name, count(*) as violations "
-            f"from (select {key} from s_{table} group by {key} having count(*) > 1) d"
-        )
-        for column, (parent, parent_key) in source.references.items():
-            found.append(
-                f"select '{table}', '{column} references {parent}', count(*) from s_{table} c where {column} is not null "
-                f"and not exists (select 1 from s_{parent} p where p.{parent_key} = c.{column})"
-            )
+    found = [
+        f"select '{table}' as table_name, 'primary key {key}' as constraint_name, count(*) as violations "
+        f"from (select {key} from s_{table} group by {key} having count(*) > 1) d"
+        for table, key in _DECLARED_KEYS.items()
+    ]
+    found += [
+        f"select '{table}', '{column} references {parent}', count(*) from s_{table} c where {column} is not null "
+        f"and not exists (select 1 from s_{parent} p where p.{column} = c.{column})"
+        for table, column, parent in _DECLARED_REFERENCES
+    ]
     return " union all ".join(found)
 
 
 @query(_constraint_sql())
 def constraint_report(ws: Workspace) -> DataFrame:
-    return files.constraint_report({table: ws.stored("silver", table) for table in _CONSTRAINED})
+    return files.constraint_report({table: ws.stored("silver", table) for table in SILVER_TABLES})
 
 
 @query("select count(*) as rows_returned, count(*) as rows_stored, count(*) as distinct_stored from orders")
@@ -646,9 +697,9 @@ def sink_overwrite_count(ws: Workspace) -> DataFrame:
 
 @query(
     """select 'silver' as layer, 'olist_orders' as table_name, 'success' as status, count(*) as row_count,
-              0 as error_length from orders
-       union all select 'silver', 'olist_customers', 'success', count(*), 0 from customer
-       union all select 'gold', 'dim_date', 'failed', 0, 500"""
+              0 as error_length, 0 as detail_length from orders
+       union all select 'silver', 'olist_customers', 'success', count(*), 0, 0 from customer
+       union all select 'gold', 'dim_date', 'failed', 0, 500, 1500"""
 )
 def metrics_rows(ws: Workspace) -> DataFrame:
     lake = Lake(ws.scratch("metrics"))
@@ -657,8 +708,8 @@ def metrics_rows(ws: Workspace) -> DataFrame:
     failure = tables.metric("gold", "dim_date", 0, 0.1, "failed", "no such table; " * 100)
     tables.record_metrics(ws.spark, lake, [failure])
     metrics = lake.load(ws.spark, lake.metrics_path)
-    error_length = F.length("error_message").alias("error_length")
-    return metrics.select("layer", "table_name", "status", "row_count", error_length)
+    lengths = [F.length("error_message").alias("error_length"), F.length("error_detail").alias("detail_length")]
+    return metrics.select("layer", "table_name", "status", "row_count", *lengths)
 
 
 @query(" union all ".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in GOLD_TABLES))
@@ -777,6 +828,76 @@ def dq_broken_and_empty(ws: Workspace) -> DataFrame:
     return orders.unionByName(_results(ws, "customer", ws.sample("customer"), nobody))
 
 
+def _layer_tables(ws: Workspace, layer: str) -> None:
+    for table in CHECKS[layer]():
+        ws.ensure(layer, table)
+
+
+@query(" union all ".join(f"select '{layer}' as layer, bool_and(passed) as passed from ({quality_sql.layer(layer)}) c" for layer in CHECKS))
+def gate_verdicts(ws: Workspace) -> DataFrame:
+    rows = []
+    for layer in CHECKS:
+        _layer_tables(ws, layer)
+        rows.append((layer, gate(ws.spark, ws.lake, layer, CHECKS[layer](), parallel=8)))
+    return tables.few_rows(ws.spark, rows, "layer STRING, passed BOOLEAN")
+
+
+@query(
+    " union all ".join(
+        f"select '{layer}' as layer, table_name, check_name, passed, detail from ({quality_sql.layer(layer)}) c"
+        for layer in ("silver", "gold")
+    )
+)
+def quality_log_rows(ws: Workspace) -> DataFrame:
+    """What two gates leave in one log."""
+    lake = Lake(ws.scratch("log"))
+    for layer in ("silver", "gold"):
+        _layer_tables(ws, layer)
+        found = [validate_stored(ws.spark, ws.lake, t, ws.lake.path(layer, t), check) for t, check in CHECKS[layer]().items()]
+        log_results(ws.spark, lake, layer, [result for one in found for result in one])
+    return ws.spark.read.parquet(lake.quality_log_path).select("layer", "table_name", "check_name", "passed", "detail")
+
+
+@query(
+    """select 'olist_customers' as table_name, 'pk_not_null_c_custkey' as check_name, count(*) = count(c_custkey) as passed from customer
+        union all select 'olist_customers', 'no_duplicates', count(*) = count(distinct c_custkey) from customer
+        union all select 'olist_orders', 'readable', false
+        union all select 'olist_sellers', 'readable', false"""
+)
+def dq_unreadable(ws: Workspace) -> DataFrame:
+    """One table is there, one is no table but text, one is missing."""
+    lake = Lake(ws.scratch("lake"))
+    ws.sample("customer").write.parquet(lake.path("silver", "olist_customers"))
+    ws.sample("orders").select(F.col("o_orderkey").cast("string")).write.text(lake.path("silver", "olist_orders"))
+    results = []
+    for table, key in (("olist_customers", "c_custkey"), ("olist_orders", "o_orderkey"), ("olist_sellers", "s_suppkey")):
+        results += validate_stored(ws.spark, lake, table, lake.path("silver", table), Check((key,)))
+    return result_rows(ws.spark, "silver", results).select("table_name", "check_name", "passed")
+
+
+@query(
+    """select case when o_orderkey % 5 > 2 then 'sound' else 'poison' end as kind, count(*) as n_rows,
+              count(case when o_orderkey % 5 > 2 then 1 end) as amounts,
+              cast(sum(case when o_orderkey % 5 > 2 then cast(round(o_totalprice * 100) as bigint) end) as double) / 100.0 as total,
+              cast(count(case when o_orderkey % 5 > 2 then 1 end) as bigint) as volumes
+       from orders group by 1"""
+)
+def poison_amounts(ws: Workspace) -> DataFrame:
+    """Amounts of NaN, infinity and beyond any bigint, and sizes whose product overflows, among sound ones: none stops the sums."""
+    text = F.expr(
+        "case o_orderkey % 5 when 0 then 'NaN' when 1 then '-Infinity' when 2 then '1e300' else cast(o_totalprice as string) end"
+    )
+    size = F.when(F.col("o_orderkey") % 5 > 2, F.lit(3)).otherwise(F.lit(2**31 - 1))
+    rows = ws.sample("orders").select("o_orderkey", parse.real(text).alias("amount"), clean.product_of(size, size, size).alias("volume"))
+    kind = F.when(F.col("o_orderkey") % 5 > 2, "sound").otherwise("poison").alias("kind")
+    return rows.groupBy(kind).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(money.cents(F.col("amount"))).alias("amounts"),
+        money.total(F.col("amount")).alias("total"),
+        F.count("volume").alias("volumes"),
+    )
+
+
 # -- the whole run, and the stream ----------------------------------------------------
 
 
@@ -797,31 +918,123 @@ def pipeline_run(ws: Workspace) -> DataFrame:
     return tables.few_rows(ws.spark, rows, "layer STRING, table_name STRING, row_count BIGINT")
 
 
-_STREAMED = "olist_customers"
+def _image_sql(table: str) -> str:
+    """The current rows of a table as JSON text, as its silver builder takes them from the topic."""
+    rows = oracle.all_images(table) if table in EVERY_IMAGE else oracle.current_images(table)
+    pairs = ", ".join(f"'{name}', cast({name} as varchar)" for name in SOURCE_TABLES[table].columns)
+    return f"select '{table}' as table_name, cast(json_object({pairs}) as varchar) as image from ({rows}) i"
 
 
-def _arrivals(ws: Workspace) -> str:
-    """The topic as files in which later events may come before earlier ones."""
-    folder = ws.scratch("topic")
-    shuffled = ws.topic(_STREAMED).repartition(6, F.xxhash64("value"))
-    shuffled.write.json(folder)
-    return folder
+_ALL_IMAGES = " union all ".join(_image_sql(table) for table in SOURCE_TABLES)
 
 
-@query(oracle.current_images(_STREAMED))
+def _streamed(ws: Workspace, topics: str | None = None) -> DataFrame:
+    topic_log.register(ws.spark)
+    reader = ws.spark.readStream.format("topic_log")
+    return (reader.option("topics", topics) if topics else reader).load(ws.topic_log())
+
+
+def _arrivals(ws: Workspace) -> list[tuple[topic_log.Offsets, topic_log.Offsets]]:
+    """The log in three spans of offsets, as if read while it grew."""
+    ends = topic_log.ends(topic_log.segments(ws.topic_log()))
+    marks = [{t: {p: n * k // 3 for p, n in parts.items()} for t, parts in ends.items()} for k in range(4)]
+    return list(zip(marks, marks[1:], strict=False))
+
+
+def _span(ws: Workspace, low: topic_log.Offsets, high: topic_log.Offsets) -> DataFrame:
+    reader = ws.spark.read.format("topic_log").option("from", json.dumps(low)).option("until", json.dumps(high))
+    return reader.load(ws.topic_log())
+
+
+@query(_ALL_IMAGES)
 def stream_equals_batch(ws: Workspace) -> DataFrame:
-    store = ImageStore(ws.scratch("store"), SOURCE_TABLES[_STREAMED].key, compact_every=2)
-    arriving = folder_stream(ws.spark, _arrivals(ws), files_per_trigger=1)
-    maintain(arriving, _STREAMED, store, ws.scratch("checkpoint")).awaitTermination()
-    return store.current(ws.spark)
+    """All topics through one stream into one store; every table's current rows."""
+    store = TopicStore(ws.scratch("store"))
+    maintain_all(_streamed(ws), store, ws.scratch("checkpoint")).awaitTermination()
+    return whole(store, ws.spark, list(SOURCE_TABLES))
 
 
-@query(f"select op, count(*) as events from ({oracle.bronze(_STREAMED)}) e group by op")
+@query(
+    " union all ".join(
+        f"select '{source.topic}' as topic, op, count(*) as events from ({oracle.bronze(table)}) e group by op"
+        for table, source in SOURCE_TABLES.items()
+    )
+)
 def stream_bronze_append(ws: Workspace) -> DataFrame:
     bronze = ws.scratch("bronze")
-    arriving = folder_stream(ws.spark, _arrivals(ws), files_per_trigger=4)
-    append_bronze(arriving, _STREAMED, bronze, ws.scratch("checkpoint")).awaitTermination()
-    return ws.spark.read.parquet(bronze).groupBy("op").agg(F.count(F.lit(1)).alias("events"))
+    append_all(_streamed(ws), bronze, ws.scratch("checkpoint")).awaitTermination()
+    return ws.spark.read.parquet(bronze).groupBy("topic", "op").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query(
+    " union all ".join(
+        f"select '{source.topic}' as topic, count(*) as events, count(*) as log_ends, 3 as batches from ({oracle.bronze(table)}) e"
+        for table, source in SOURCE_TABLES.items()
+    )
+)
+def stream_all_topics(ws: Workspace) -> DataFrame:
+    """The commit ledger after three batches: messages of each topic, and how far its partitions are read."""
+    store = TopicStore(ws.scratch("store"))
+    for number, span in enumerate(_arrivals(ws)):
+        store.absorb(_span(ws, *span), number)
+    done = store.manifest(ws.spark)
+    rows = [(topic, events, sum(done.offsets[topic].values()), done.batch + 1) for topic, events in done.rows.items()]
+    return tables.few_rows(ws.spark, rows, "topic STRING, events BIGINT, log_ends BIGINT, batches BIGINT")
+
+
+@query(_ALL_IMAGES)
+def stream_replay_after_kill(ws: Workspace) -> DataFrame:
+    """Every batch is killed between its data and its manifest, run again, and once more after it was published."""
+    store = TopicStore(ws.scratch("store"), fold_after=1)
+
+    class Killed(RuntimeError):
+        pass
+
+    class Dying(TopicStore):
+        def _publish(self, *_):
+            raise Killed
+
+    for number, span in enumerate(_arrivals(ws)):
+        with contextlib.suppress(Killed):
+            Dying(store.root, fold_after=1).absorb(_span(ws, *span), number)
+        store.absorb(_span(ws, *span), number)
+        store.absorb(_span(ws, *span), number)
+    return whole(store, ws.spark, list(SOURCE_TABLES))
+
+
+@query(
+    " union all ".join(
+        f"select '{source.topic}' as topic, op, ts_ms, count(*) as events from ({oracle.bronze(table)}) e group by op, ts_ms"
+        for table, source in SOURCE_TABLES.items()
+    )
+)
+def topic_folder_read(ws: Workspace) -> DataFrame:
+    """A bounded read of all sixteen topics, planned from offsets, decoded each by its own schema."""
+    reader = topic_log.LogReader(ws.topic_log())
+    decoded = [
+        changes.decode(reader(ws.spark, source.topic), table).select("topic", "op", "ts_ms") for table, source in SOURCE_TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, decoded).groupBy("topic", "op", "ts_ms").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query(
+    " union all ".join(
+        f"select '{source.topic}' as topic, 'loaded' as status, count(*) as rows, count(*) as ledger from ({oracle.bronze(table)}) e"
+        for table, source in SOURCE_TABLES.items()
+    )
+    + " union all select 'later', 'empty', null, 0"
+)
+def topic_ledger(ws: Workspace) -> DataFrame:
+    """All topics ingested from the log, the bounds kept in a ledger; a reader that starts there finds every topic empty."""
+    lake = Lake(ws.scratch("ingest"))
+    reader = topic_log.LogReader(ws.topic_log())
+    loaded = changes.ingest(ws.spark, lake, reader, parallel=8)
+    reader.record(ws.spark, lake)
+    ledger = ws.spark.read.parquet(topic_log.ledger_path(lake)).groupBy("topic").agg(F.sum("until_offset").alias("ledger"))
+    later = topic_log.LogReader(ws.topic_log(), since=topic_log.ledger_offsets(ws.spark, lake))
+    again = changes.ingest(ws.spark, lake, later).groupBy("status").agg(F.max("rows").alias("rows"))
+    first = loaded.join(ledger, "topic").select("topic", "status", "rows", "ledger")
+    return first.unionByName(again.select(F.lit("later").alias("topic"), "status", "rows", F.lit(0).cast("bigint").alias("ledger")))
 
 
 # -- parameterised access ---------------------------------------------------------------

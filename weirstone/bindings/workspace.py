@@ -7,19 +7,19 @@ from the tables it needs.
 
 from __future__ import annotations
 
+import threading
 import uuid
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weirstone.bindings.feeds import messages
+from weirstone.bindings.feeds import feed_samples, keyed_messages, messages
 from weirstone.layout import LAYERS, Lake
 from weirstone.plans.pipeline import BUILDS, build_table, waves
-from weirstone.schemas import TABLE_OF_TOPIC
+from weirstone.schemas import SOURCE_TABLES, TABLE_OF_TOPIC
 from weirstone.session import configure, shared_folder, side_by_side
 from weirstone.sources.changes import ingest_table
-
-SAMPLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+from weirstone.sources.topic_log import append
 
 
 class Workspace:
@@ -31,6 +31,9 @@ class Workspace:
         self.root = f"{shared_folder(spark)}/weirstone-{uuid.uuid4().hex}"
         self.lake = Lake(f"{self.root}/lake")
         self._built: set[tuple[str, str]] = set()
+        self._dealt: set[str] = set()
+        self._log: str | None = None
+        self._dealing, self._logging = threading.Lock(), threading.Lock()
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> Workspace:
@@ -43,16 +46,34 @@ class Workspace:
     def sample(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread_sample(self, name: str) -> DataFrame:
-        """A sample for per-row work as heavy as JSON: a table kept in fewer files
-        than there are cores is dealt out over the cores first."""
-        df = self.sample(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    def dealt_sample(self, name: str) -> DataFrame:
+        """A sample for per-row work as heavy as JSON: stored once in a file per core, so that
+        sixteen topics read it in parallel and shuffle nothing."""
+        folder = f"{self.root}/samples/{name}"
+        with self._dealing:
+            if name not in self._dealt:
+                self.sample(name).repartition(self.spark.sparkContext.defaultParallelism).write.parquet(folder)
+                self._dealt.add(name)
+        return self.spark.read.parquet(folder)
 
     def topic(self, table: str) -> DataFrame:
         """The messages of one table's topic."""
-        return messages(table, {name: self.spread_sample(name) for name in SAMPLES})
+        return messages(table, {name: self.dealt_sample(name) for name in feed_samples(table)})
+
+    def topic_log(self) -> str:
+        """All sixteen topics as one log of segments, appended in two goes: the newer events come first.
+
+        Changes of one row share a partition, in the order they happened in within each append.
+        """
+        with self._logging:
+            if self._log is None:
+                root = f"{self.root}/log"
+                parts = [keyed_messages(t, {n: self.dealt_sample(n) for n in feed_samples(t)}) for t in SOURCE_TABLES]
+                everything = reduce(DataFrame.unionByName, parts)
+                append(everything.where("offset >= 2"), root)
+                append(everything.where("offset < 2"), root)
+                self._log = root
+        return self._log
 
     def read_topic(self, spark: SparkSession, topic: str) -> DataFrame:
         """The topic reader handed to ingestion."""

@@ -36,6 +36,30 @@ def surrogate_key(df: DataFrame, name: str, business_key: Sequence[str], ties: S
     )
 
 
+PARTITION_BITS = 33
+
+
+def dense_key(stored: DataFrame, name: str) -> DataFrame:
+    """Prepend a key 1, 2, 3, ... without moving a row: counts per task, their exclusive prefix sum, position in the task.
+
+    ``stored`` must be a stored table, so that every reading of it deals the same rows to
+    the same tasks. Only the counts are shuffled, one row per task; they are broadcast, 16 bytes a
+    task. Unlike :func:`surrogate_key` the keys depend on the table's files and splits, not on the data alone.
+    """
+    placed = stored.withColumn("_place", F.monotonically_increasing_id())
+    task = F.shiftright("_place", PARTITION_BITS)
+    counts = placed.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per task of a scan in one window: bounded by the number of tasks
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    position = F.col("_place").bitwiseAND(F.lit((1 << PARTITION_BITS) - 1)) + 1
+    return (
+        placed.withColumn("_task", task)
+        .join(F.broadcast(starts), "_task")
+        .select((F.col("_start") + position).alias(name), *stored.columns)
+    )
+
+
 def with_unknown(dimension: DataFrame, key: str, values: Mapping[str, Column | str | bool | int]) -> DataFrame:
     """Append the -1 member; columns not given are NULL."""
     given = {key: UNKNOWN_KEY, **values}

@@ -7,6 +7,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from pyspark.errors import (
+    AnalysisException,
+    ArithmeticException,
+    ArrayIndexOutOfBoundsException,
+    DateTimeException,
+    NumberFormatException,
+    PySparkException,
+)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,12 +61,28 @@ def _violations(rule: Column) -> Column:
 
 def _resolvable(df: DataFrame, rule: Column) -> bool:
     try:
-        df.select(rule)
+        df.select(rule).schema  # noqa: B018 - analysis is what is asked for
         return True
-    except Exception:
+    except AnalysisException:
         return False
 
 
+#: Error classes of Spark's own that say nothing about a rule: the job was lost, stopped or ran out of something.
+CLUSTER_ERRORS = ("INTERNAL_ERROR", "JOB_CANCELLED", "SCHEDULER", "EXECUTOR", "OUT_OF_MEMORY", "FAILED_READ_FILE", "STAGE", "TASK", "FETCH")
+
+
+def _blames_rule(problem: Exception) -> bool:
+    """Whether a failure is the rule's: an error that evaluating an expression raised.
+
+    A lost executor, an unreadable file or a cancelled job has no error class or one of the
+    cluster's; that is not a finding about the data and must stop the check.
+    """
+    if isinstance(problem, (ArithmeticException, NumberFormatException, DateTimeException, ArrayIndexOutOfBoundsException)):
+        return True
+    condition = problem.getCondition() if isinstance(problem, PySparkException) else None
+    return bool(condition) and not condition.startswith(CLUSTER_ERRORS)
+
+
 def _measure(df: DataFrame, check: Check, rules: Mapping[str, Column]) -> dict[str, int]:
     """All counts of a table in a single pass (and a single shuffle, on the key).
 
@@ -77,14 +101,16 @@ def _measure_resilient(df: DataFrame, check: Check, rules: Mapping[str, Column])
     """If a rule fails while running (not only while resolving), find it and go on without it."""
     try:
         return _measure(df, check, rules)
-    except Exception:
-        if not rules:
+    except Exception as problem:
+        if not rules or not _blames_rule(problem):
             raise
     measured = _measure(df, check, {})
     for name, rule in rules.items():
         try:
             measured[f"rule {name}"] = df.agg(_violations(rule).alias("n")).first()["n"]
-        except Exception:
+        except Exception as problem:
+            if not _blames_rule(problem):
+                raise
             log.warning("rule %r cannot be evaluated", name)
     return measured
 

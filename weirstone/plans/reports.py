@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirstone.functions import money
@@ -173,17 +173,14 @@ def sales_by_category(gold: Gold, k: int = 10) -> DataFrame:
 def funnel_analysis(gold: Gold, entry_event: str = "PAGE_VIEW") -> DataFrame:
     """Sessions and events per type, and sessions relative to those that viewed a page.
 
-    The denominator is a scalar subquery whose filter reaches the scan; where
-    nobody entered the rate is NULL.
+    One scan: the denominator is one of the groups, a row per event type being
+    left to look it up in. Where nobody entered the rate is NULL.
     """
-    events = gold("fact_clickstream_events")
-    entered = events.where(F.col("event_type") == entry_event).agg(F.count_distinct("session_sk"))
-    steps = events.groupBy("event_type").agg(
+    steps = gold("fact_clickstream_events").groupBy("event_type").agg(
         F.count_distinct("session_sk").alias("unique_sessions"), F.count("event_sk").alias("total_events")
     )
-    measured = steps.withColumn(
-        "conversion_rate_pct", money.percent(F.col("unique_sessions"), entered.scalar())
-    )
+    entered = F.max(F.when(F.col("event_type") == entry_event, F.col("unique_sessions"))).over(Window.partitionBy())
+    measured = steps.withColumn("conversion_rate_pct", money.percent(F.col("unique_sessions"), entered))
     return _top(measured, "total_events", "event_type")
 
 

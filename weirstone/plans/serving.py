@@ -136,6 +136,8 @@ def _objections(node, is_plan: bool = True) -> Iterator[str]:
     if kind == "UnresolvedFunction":
         if _names(node)[-1] in JVM_CALLS:
             yield f"the function {_names(node)[-1]} is not allowed"
+    elif "UnresolvedIdentifier" in kind:  # IDENTIFIER(...): a name that is computed
+        yield "names are written out, not computed with IDENTIFIER"
     elif kind == "UnresolvedTableValuedFunction":
         if _names(node)[-1] not in TABLE_FUNCTIONS:
             yield f"the table function {_names(node)[-1]} is not allowed"
@@ -156,6 +158,24 @@ def _objections(node, is_plan: bool = True) -> Iterator[str]:
         yield from _objections(node.plan())
 
 
+# Expressions of an analysed query that run code from outside the query.
+FOREIGN_CALLS = {"CallMethodViaReflection", "ScalaUDF", "PythonUDF", "HiveGenericUDF", "HiveSimpleUDF", "HiveGenericUDTF"}
+
+
+def _foreign(node, is_plan: bool = True) -> Iterator[str]:
+    """What the parsed names turned out to be: calls of foreign code anywhere in an analysed plan."""
+    kind = node.getClass().getSimpleName()
+    if kind in FOREIGN_CALLS:
+        yield f"{kind} is not allowed"
+    for child in _items(node.children()):
+        yield from _foreign(child, is_plan)
+    if is_plan:
+        for expression in _items(node.expressions()):
+            yield from _foreign(expression, False)
+    elif hasattr(node, "plan") and kind in SUBQUERIES:
+        yield from _foreign(node.plan())
+
+
 def objection(spark: SparkSession, sql: object) -> str | None:
     """Why a statement may not run, or None. Judged on what Spark's parser makes of it, never on its words."""
     if not isinstance(sql, str):
@@ -168,11 +188,19 @@ def objection(spark: SparkSession, sql: object) -> str | None:
 
 
 def run_select(spark: SparkSession, sql: str, limit: int | None = None) -> DataFrame:
-    """The rows of one read-only query, or a page of them."""
+    """The rows of one read-only query, or a page of them.
+
+    Judged twice: as parsed, and, whatever its names stand for, as analysed. Both look at the plans of a
+    classic session, so this does not run over Spark Connect.
+    """
     reason = objection(spark, sql)
     if reason:
         raise ValueError(reason)
-    return page(spark.sql(sql), limit)
+    rows = spark.sql(sql)
+    reason = next(_foreign(rows._jdf.queryExecution().analyzed()), None)
+    if reason:
+        raise ValueError(reason)
+    return page(rows, limit)
 
 
 # -- output -------------------------------------------------------------------

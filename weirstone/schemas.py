@@ -9,10 +9,17 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class SourceTable:
+    """``key`` tells changes of one row apart; ``declared`` is the primary key the source declares, where it is another."""
+
     topic: str
     ddl: str
     key: tuple[str, ...] = ()
     references: dict[str, tuple[str, str]] = field(default_factory=dict)
+    declared: tuple[str, ...] | None = None
+
+    @property
+    def primary_key(self) -> tuple[str, ...]:
+        return self.key if self.declared is None else self.declared
 
     @property
     def typed(self) -> T.StructType:
@@ -75,6 +82,7 @@ SOURCE_TABLES: dict[str, SourceTable] = {
         "review_comment_message STRING, review_creation_date TIMESTAMP, review_answer_timestamp TIMESTAMP",
         ("review_id", "order_id"),
         {"order_id": ("olist_orders", "order_id")},
+        ("review_id",),
     ),
     "olist_products": SourceTable(
         "olist.public.olist_products",
@@ -92,6 +100,7 @@ SOURCE_TABLES: dict[str, SourceTable] = {
         "olist.public.product_category_translation",
         "product_category_name STRING, product_category_name_english STRING",
         ("product_category_name",),
+        declared=(),
     ),
     "click_customers": SourceTable(
         "clickstream.public.click_customers",
@@ -124,6 +133,7 @@ SOURCE_TABLES: dict[str, SourceTable] = {
         "order_id INT, product_id INT, unit_price_usd DECIMAL(10,2), quantity INT, line_total_usd DECIMAL(10,2)",
         ("order_id", "product_id"),
         {"order_id": ("click_orders", "order_id"), "product_id": ("click_products", "product_id")},
+        (),
     ),
     "click_events": SourceTable(
         "clickstream.public.click_events",

@@ -83,11 +83,18 @@ def decode(messages: DataFrame, table: str) -> DataFrame:
 def ingest_table(
     spark: SparkSession, lake: Lake, reader: TopicReader, table: str, metrics: list[tuple] | None = None
 ) -> int | None:
-    """Replace one bronze table from its topic; an empty topic leaves the table alone (None)."""
+    """Replace one bronze table from its topic; an empty topic leaves the table alone (None).
+
+    A reader that knows its offsets (``rows``) says so itself; of another one the first message is asked for.
+    """
     if table not in SOURCE_TABLES:
         raise KeyError(f"unknown topic or table: {table}")
-    messages = reader(spark, SOURCE_TABLES[table].topic)
-    if messages.isEmpty():
+    topic = SOURCE_TABLES[table].topic
+    counted = getattr(reader, "rows", None)
+    if counted is not None and not counted(topic):
+        return None
+    messages = reader(spark, topic)
+    if counted is None and messages.isEmpty():
         return None
     return replace_table(spark, lake, decode(messages, table), "bronze", table, metrics)
 
@@ -113,7 +120,7 @@ def ingest(
         try:
             rows = ingest_table(spark, lake, reader, name, metrics)
         except Exception as problem:  # isolation between topics is the point
-            return topic, "failed", None, str(problem)[:500]
+            return topic, "failed", None, str(problem)
         return topic, "empty" if rows is None else "loaded", rows, None
 
     try:

@@ -59,6 +59,21 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     )
 
 
+LOAD_ORDER = ("_file", "_block", "_row")
+
+
+def in_load_order(rows: DataFrame) -> DataFrame:
+    """Where each row of a file read came from: file, start of its block, and place among the rows its task reads.
+
+    A block is read by one task from front to back, so these columns order rows as the files do,
+    whatever the number of tasks.
+    """
+    return rows.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+
+
 def absent_rows(incoming: DataFrame, existing: DataFrame, key: Sequence[str], prefer: Sequence[str] = ()) -> DataFrame:
     """Incoming rows whose key the target lacks, one per key.
 
@@ -84,14 +99,15 @@ def seed(
 ) -> list[str]:
     """Replace typed source tables from a folder of CSV files, parents before children.
 
-    Order reviews may repeat a review id; the first of them is kept. Returns
-    the tables in the order they were loaded.
+    Order reviews may repeat a review id; the one loaded first is kept, in the
+    order of the files and of the rows in them. Returns the tables in the order they were loaded.
     """
     loaded = [name for name in load_order() if tables is None or name in tables]
     for name in loaded:
         rows = read_csv(spark, f"{folder}/{CSV_FILES[name]}", name)
         if name == "olist_order_reviews":
-            rows = absent_rows(rows, rows.where(F.lit(False)), ["review_id"])
+            placed = in_load_order(rows)
+            rows = absent_rows(placed, placed.where(F.lit(False)), ["review_id"], LOAD_ORDER).drop(*LOAD_ORDER)
         rows.write.format(storage).mode("overwrite").save(f"{target}/{name}")
     return loaded
 
@@ -107,22 +123,48 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
     return child.where(F.col(column).isNotNull()).join(known, column, "left_anti")
 
 
+def _answers(tables: Mapping[str, DataFrame], parent: str, key: tuple[str, ...]) -> DataFrame:
+    """All constraints that one key of ``parent`` decides: its own uniqueness, and every reference to it.
+
+    Parent rows and references are tagged and meet in one aggregation by key,
+    which combines before the shuffle: a key holding a third of all references is one row per task. A
+    reference without parent rows is an orphan, as many times as it occurs.
+    """
+    declared = SOURCE_TABLES[parent].primary_key
+    asked = [
+        (table, column)
+        for table in tables
+        for column, (of, named) in SOURCE_TABLES[table].references.items()
+        if of == parent and (named,) == key
+    ]
+    names = [f"_k{i}" for i in range(len(key))]
+    rows = tables[parent].select(*[F.col(c).alias(n) for c, n in zip(key, names, strict=True)], F.lit(-1).alias("_from"))
+    for i, (table, column) in enumerate(asked):
+        child = tables[table].where(F.col(column).isNotNull())
+        rows = rows.unionByName(child.select(F.col(column).alias(names[0]), F.lit(i).alias("_from")))
+    counts = [F.count_if(F.col("_from") == i).alias(f"_n{i + 1}") for i in range(-1, len(asked))]
+    met = rows.groupBy(*names).agg(*counts)
+    missing = F.col("_n0") == 0
+    found = []
+    if key == declared:
+        found.append((parent, "primary key " + ", ".join(key), F.count_if(F.col("_n0") > 1)))
+    for i, (table, column) in enumerate(asked):
+        lost = F.coalesce(F.sum(F.when(missing, F.col(f"_n{i + 1}"))), F.lit(0)).cast("bigint")
+        found.append((table, f"{column} references {parent}", lost))
+    totals = met.agg(*[total.alias(f"_v{i}") for i, (*_, total) in enumerate(found)])
+    lines = [
+        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("constraint_name"), F.col(f"_v{i}").alias("violations"))
+        for i, (t, c, _) in enumerate(found)
+    ]
+    return totals.select(F.inline(F.array(*lines)))
+
+
 def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table, constraint, violations) for every declared key and reference among ``tables``."""
-    parts = []
-
-    def part(table: str, name: str, broken: DataFrame) -> None:
-        parts.append(
-            broken.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"), "violations"
-            )
-        )
-
-    for table, df in tables.items():
-        source = SOURCE_TABLES[table]
-        if source.key:
-            part(table, "primary key " + ", ".join(source.key), duplicate_keys(df, source.key))
-        for column, (parent, parent_key) in source.references.items():
-            if parent in tables:
-                part(table, f"{column} references {parent}", orphans(df, column, tables[parent], parent_key))
-    return reduce(DataFrame.unionByName, parts)
+    """(table, constraint, violations) for every declared key and reference among ``tables``.
+
+    No join: a table's references and its own key are answered by one aggregation each.
+    """
+    keys = {(name, SOURCE_TABLES[name].primary_key) for name in tables if SOURCE_TABLES[name].primary_key}
+    for name in tables:
+        keys |= {(of, (named,)) for of, named in SOURCE_TABLES[name].references.values() if of in tables}
+    return reduce(DataFrame.unionByName, [_answers(tables, *one) for one in sorted(keys)])

@@ -16,10 +16,10 @@ from weirstone.layout import Lake
 
 log = logging.getLogger(__name__)
 
-# Columns of the metrics table.
+# Columns of the metrics table. error_message is a heading of at most 500 characters, error_detail the whole text.
 METRIC_SCHEMA = (
     "run_id STRING, layer STRING, table_name STRING, row_count BIGINT, duration_sec DOUBLE, "
-    "status STRING, error_message STRING, recorded_at STRING"
+    "status STRING, error_message STRING, error_detail STRING, recorded_at STRING"
 )
 ERROR_LENGTH = 500
 
@@ -58,6 +58,7 @@ def metric(
         round(float(seconds), 2),
         status,
         error[:ERROR_LENGTH],
+        error,
         now.strftime("%Y-%m-%d %H:%M:%S"),
     )
 

@@ -1,21 +1,10 @@
-"""Change topics as streams: append to bronze, keep current images up to date.
-
-Late and out-of-order events need no watermark: what decides is the ``ts_ms``
-of the events already absorbed, and the store keeps deletes as tombstones, so
-an old update arriving after a delete does not bring the row back.
-"""
+"""Change topics as streams, one by one: sources, and append to bronze. ``store`` keeps all topics with one stream."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
-from weirstone.operators.latest import latest_events, latest_images
 from weirstone.sources.changes import decode
 
 MESSAGE = "topic STRING, value STRING, offset BIGINT"
@@ -48,61 +37,3 @@ def append_bronze(
         .trigger(availableNow=True)
         .start(path)
     )
-
-
-@dataclass(frozen=True)
-class ImageStore:
-    """Newest event per key, kept as a base plus the batches absorbed since.
-
-    A micro-batch is reduced to one event per key and written under its batch
-    id, so absorbing it again after a failure replaces it. Rewriting the whole
-    state with every batch would cost more the larger the table gets; instead
-    every ``compact_every`` batches base and batches are folded into a new
-    base. Old folders are left for the storage's own clean-up.
-    """
-
-    root: str
-    keys: Sequence[str]
-    compact_every: int = 16
-
-    def absorb(self, batch: DataFrame, batch_id: int) -> None:
-        latest_events(batch, self.keys).write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
-        if (batch_id + 1) % self.compact_every == 0:
-            self.compact(batch.sparkSession, batch_id)
-
-    def compact(self, spark: SparkSession, upto: int) -> None:
-        folded = latest_events(self._events(spark, before=upto), self.keys)
-        folded.write.mode("overwrite").parquet(f"{self.root}/base/upto={upto}")
-
-    def _base(self, spark: SparkSession, before: int | None) -> tuple[DataFrame | None, int]:
-        """The newest base (older than ``before``) and the last batch it covers."""
-        try:
-            bases = spark.read.parquet(f"{self.root}/base")
-        except AnalysisException:
-            return None, -1
-        older = bases if before is None else bases.where(F.col("upto") < before)
-        upto = older.agg(F.max("upto").alias("upto")).first()["upto"]
-        if upto is None:
-            return None, -1
-        return bases.where(F.col("upto") == upto).drop("upto"), upto
-
-    def _events(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        base, upto = self._base(spark, before)
-        recent = spark.read.parquet(f"{self.root}/changes").where(F.col("batch") > upto).drop("batch")
-        return recent if base is None else base.unionByName(recent)
-
-    def current(self, spark: SparkSession) -> DataFrame:
-        """Current rows: what a batch run over all events so far would give."""
-        return latest_images(self._events(spark), self.keys)
-
-
-def maintain(messages: DataFrame, table: str, store: ImageStore, checkpoint: str) -> StreamingQuery:
-    """Absorb the events of a topic into the store, batch by batch, up to now."""
-    return (
-        decode(messages, table)
-        .drop("topic")
-        .writeStream.foreachBatch(store.absorb)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
