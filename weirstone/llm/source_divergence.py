@@ -1,13 +1,13 @@
 """How far the sources of each language differ in their words: count-level bitmaps.
 
-The terms kept for a language are numbered and cut into chunks of about a
-thousand terms of similar frequency. For each chunk and each group, a source of
+The terms kept for a language are numbered and cut into chunks of a few hundred
+terms of similar frequency. For each chunk and each group, a source of
 the language, ``levels`` stores one bitset of term numbers per occurring count: bit i of the
 bitset of count c is set if the group has term i exactly c times. The language
 as a whole is one more such group. Two groups that meet in a chunk are compared
 by AND and popcount: the cells (c, d) say how many terms one has c times and
-the other d times, and each is multiplied by f(c, d); cells with a zero
-follow by complement, from the sizes of the bitsets and the number of terms.
+the other d times, and each is multiplied by f(c, d). The bitset of count zero
+is the complement of the others.
 
 With count c a group's p is 1 + floor(10^9 (c + 5) / (N + 5 V)), computed in
 38-digit decimals; f is the absolute difference of two p. So all sums are exact integers.
@@ -37,52 +37,51 @@ from weirstone.llm.runtime import stored
 TERM = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 MIN_DOCS = 30
 TOP = 50
-CHUNK = 1024
+CHUNK = 256
 BLOCK = 16
-HELD = 200_000
+HELD = 500_000
+CELLS = 1 << 19
 PIECE = 1 << 20
 ONE = 1_000_000_000
 SMOOTH = 5
 
 
-def _found(text: bytes) -> Counter:
-    """How often each term occurs in a text; long texts are counted piece by piece, cut between terms."""
-    if len(text) <= PIECE:
-        return Counter(TERM.findall(text))
-    total, at = Counter(), 0
+def _terms(text: bytes) -> Iterator[list[bytes]]:
+    """The terms of a text in order; long texts come piece by piece, cut between terms."""
+    at = 0
     while at < len(text):
         end = min(len(text), at + PIECE)
         while end < len(text) and (text[end] > 0x7F or chr(text[end]).isalpha()):
             end += 1
-        total.update(TERM.findall(text, at, end))
+        yield TERM.findall(text, at, end)
         at = end
-    return total
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     groups: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
 
-    def given() -> pa.RecordBatch:
-        rows = [(*g, term, n, docs[term]) for g, (total, docs) in groups.items() for term, n in total.items()]
-        rows += [(*g, None, 0, 0) for g in groups]  # a group occurs even if it has no terms
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        types = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
-        arrays = [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)]
-        arrays[2] = arrays[2].cast(pa.string())
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "source", "term", "n", "docs"])
+    def given() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (total, docs) in groups.items():
+            # a null term says that the group occurs, even if it has no terms
+            terms = pa.array([*total, None], pa.binary()).cast(pa.string())
+            n = np.fromiter(total.values(), np.int64, len(total))
+            d = np.fromiter(map(docs.__getitem__, total), np.int64, len(total))
+            same = [pa.repeat(pa.scalar(x, pa.string()), len(terms)) for x in (lang, source)]
+            yield pa.RecordBatch.from_arrays([*same, terms, *(pa.array(np.append(x, 0)) for x in (n, d))], ["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
         lang, source, text = (batch.column(i).to_pylist() for i in range(3))
         for g, one in zip(zip(lang, source, strict=True), text, strict=True):
-            found = _found(one.lower())
             total, docs = groups[g]
-            total.update(found)
-            docs.update(found.keys())
+            once: set[bytes] = set()
+            for some in _terms(one.lower()):
+                total.update(some)
+                once.update(some)
+            docs.update(once)
         if sum(len(total) for total, _ in groups.values()) >= HELD:
-            yield given()
+            yield from given()
             groups.clear()
-    if groups:
-        yield given()
+    yield from given()
 
 
 def counts(docs: DataFrame) -> DataFrame:
@@ -145,56 +144,59 @@ def _packed(key: tuple, table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(row, kinds, strict=True)], names_)
 
 
-class _Group:
-    """One source in one chunk: its bitsets, their p, and what each holds."""
+class _Block:
+    """The groups of one block in one chunk: all their bitsets, that of count zero being the complement, and whose each is."""
 
-    def __init__(self, source: str, zero: int, p: np.ndarray, bits: np.ndarray):
-        self.source, self.zero, self.p, self.bits = source, zero, p, bits
-        self.size = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-
-    @staticmethod
-    def of(row: dict, side: str) -> list[_Group]:
-        words = -(-row["terms"] // 64)
+    def __init__(self, row: dict, side: str):
+        terms, words = row["terms"], -(-row["terms"] // 64)
+        self.sources = row[f"{side}_sources"]
         bits = np.frombuffer(row[f"{side}_bits"], np.uint64).reshape(-1, words)
-        p, at, out = np.array(row[f"{side}_p"], np.int64), 0, []
-        for source, zero, n in zip(row[f"{side}_sources"], row[f"{side}_zero"], row[f"{side}_levels"], strict=True):
-            out.append(_Group(source, zero, p[at : at + n], bits[at : at + n]))
-            at += n
-        return out
-
-
-def _joint(a: _Group, b: _Group) -> np.ndarray:
-    """Terms in each cell of two occurring counts."""
-    out = np.empty((len(a.bits), len(b.bits)), np.int64)
-    for i, one in enumerate(a.bits):
-        out[i] = np.bitwise_count(b.bits & one).sum(axis=1)
+        p, zero = np.array(row[f"{side}_p"], np.int64), np.array(row[f"{side}_zero"], np.int64)
+        ends = np.cumsum(row[f"{side}_levels"])
+        everything = np.packbits(np.arange(words * 64) < terms, bitorder="little").view(np.uint64)
+        parts, shares = [], []
+        for k, (start, end) in enumerate(zip(ends - row[f"{side}_levels"], ends, strict=True)):
+            seen = np.bitwise_or.reduce(bits[start:end], axis=0) if end > start else np.zeros(words, np.uint64)
+            parts += [bits[start:end], (everything & ~seen)[None, :]]
+            shares += [p[start:end], zero[k : k + 1]]
+        self.bits, self.p = np.concatenate(parts), np.concatenate(shares)
+        self.starts = ends - row[f"{side}_levels"] + np.arange(len(ends))  # with one more bitset for each group before
+        self.last = np.append(self.starts[1:], len(self.p)) - 1  # the bitset of count zero
+
+
+def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Terms in each cell of two counts: AND and popcount."""
+    out = np.empty((len(a), len(b)), np.int64)
+    step = max(1, CELLS // max(1, b.size))
+    for i in range(0, len(a), step):
+        out[i : i + step] = np.bitwise_count(a[i : i + step, None, :] & b[None, :, :]).sum(axis=2, dtype=np.int64)
     return out
 
 
-def _distance(a: _Group, b: _Group, terms: int) -> int:
-    """The sum of f over a chunk's terms."""
-    cells = _joint(a, b)
-    only_a, only_b = a.size - cells.sum(axis=1), b.size - cells.sum(axis=0)
-    neither = terms - int(a.size.sum()) - int(only_b.sum())
-    value = int((cells * np.abs(a.p[:, None] - b.p[None, :])).sum())
-    value += int((only_a * np.abs(a.p - b.zero)).sum()) + int((only_b * np.abs(b.p - a.zero)).sum())
-    return value + neither * abs(a.zero - b.zero)
-
-
-def _leading(whole: _Group, group: _Group, top: int) -> Iterator[tuple[int, int]]:
-    """(place, value) of the terms the group has more often than the language, those of the ``top`` first values and all ties."""
-    over = group.p[None, :] - whole.p[:, None]
-    found = sorted(zip(over[over > 0].tolist(), *(x.tolist() for x in np.nonzero(over > 0)), strict=True), reverse=True)
-    given, last = 0, None
-    for value, i, j in found:
-        if given >= top and value != last:
-            return
-        both = whole.bits[i] & group.bits[j]
-        places = np.flatnonzero(np.unpackbits(both.view(np.uint8), bitorder="little"))
-        for place in places.tolist():
-            yield place, value
-        if len(places):
-            given, last = given + len(places), value
+def _distances(a: _Block, b: _Block) -> np.ndarray:
+    """The sum of f over a chunk's terms, for each group of ``a`` with each of ``b``."""
+    weighed = _joint(a.bits, b.bits) * np.abs(a.p[:, None] - b.p[None, :])
+    return np.add.reduceat(np.add.reduceat(weighed, a.starts, axis=0), b.starts, axis=1)
+
+
+def _leading(whole: _Block, block: _Block, top: int) -> Iterator[tuple[str, int, int]]:
+    """(source, place, value) of terms a group has more often than the language: those of its ``top`` greatest values and all ties."""
+    over = block.p[None, :] - whole.p[:, None]
+    cells = np.where(over > 0, _joint(whole.bits, block.bits), 0)
+    cells[:, block.last] = 0  # the term must occur in the group
+    for source, start, last in zip(block.sources, block.starts, block.last, strict=True):
+        i, j = np.nonzero(cells[:, start:last])
+        j += start
+        order = np.argsort(-over[i, j], kind="stable")
+        i, j = i[order], j[order]
+        values, before = over[i, j], np.cumsum(cells[i, j]) - cells[i, j]
+        needed = before < top
+        if needed.any():
+            needed |= values >= values[needed][-1]
+        for x, y, value in zip(i[needed].tolist(), j[needed].tolist(), values[needed].tolist(), strict=True):
+            both = whole.bits[x] & block.bits[y]
+            for place in np.flatnonzero(np.unpackbits(both.view(np.uint8), bitorder="little")).tolist():
+                yield source, place, value
 
 
 _MET = "lang string, source string, item string, band int, chunk bigint, place int, value bigint"
@@ -209,19 +211,19 @@ def _meet(top: int):
             rows = []
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
-                left, right = _Group.of(row, "a"), _Group.of(row, "b")
-                lang, terms = row["lang"], row["terms"]
+                left, right = _Block(row, "a"), _Block(row, "b")
+                lang, at = row["lang"], (row["band"], row["chunk"])
                 if row["a_block"] < 0:  # the language itself
                     if row["b_block"] >= 0:
-                        for g in right:
-                            rows += [(lang, g.source, None, row["band"], row["chunk"], place, v) for place, v in _leading(left[0], g, top)]
+                        rows += [(lang, source, None, *at, place, value) for source, place, value in _leading(left, right, top)]
                     continue
                 same = row["a_block"] == row["b_block"]
-                for i, g in enumerate(left):
-                    for h in right[i + 1 :] if same else right:
-                        value = _distance(g, h, terms)
-                        sums[lang, g.source, h.source] += value
-                        sums[lang, h.source, g.source] += value
+                values = _distances(left, right).tolist()
+                for i, g in enumerate(left.sources):
+                    for j, h in enumerate(right.sources):
+                        if not same or i < j:
+                            sums[lang, g, h] += values[i][j]
+                            sums[lang, h, g] += values[i][j]
             rows += [(*key, None, None, None, value) for key, value in sums.items()]
             columns = list(zip(*rows, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
