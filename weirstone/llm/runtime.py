@@ -48,6 +48,15 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+TASK_BYTES = 64 << 20
+
+
+def tasks_for(size: int, spark: SparkSession) -> int:
+    """Tasks for reading ``size`` bytes that rows of a few numbers point to: a shuffle of such rows is dealt to this
+    number, as by its own bytes it would be merged into very few."""
+    return max(width(spark), -(-size // TASK_BYTES))
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Take back a folder made by ``scratch``."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

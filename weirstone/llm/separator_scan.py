@@ -12,8 +12,9 @@ documents longer than a block, and separators at its edges, are stitched.
 ``write`` makes such files from texts, to try the scan on. Files have fresh names, and only those of
 tasks that ended well are listed.
 
-Defined results: an empty text is a document of no tokens; so is what two
-neighbouring separators enclose. Tokens after a file's last separator are one
+Defined results: a null or empty text is a document of no tokens; so is what two
+neighbouring separators enclose. Repeated rows are documents each, extra columns are not looked at. An id that does
+not fit the width, or is the separator itself, stops ``write``. Tokens after a file's last separator are one
 document that is not ended. An empty file holds nothing. A file whose size is
 no multiple of the width raises an error.
 """
@@ -27,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from weirstone.llm.runtime import scratch, stored
+from weirstone.llm.runtime import scratch, stored, tasks_for
 from weirstone.llm.tokens import encoded
 from weirstone.llm.zip_warc import _place
 
@@ -49,6 +50,8 @@ def write(docs: DataFrame, path: str, folder: str, separator: int = SEPARATOR, w
         with system.open_output_stream(local) as out:
             for batch in batches:
                 for _, ids in encoded(batch.column("text"), path):
+                    if len(ids) and (int(ids.max()) >> 8 * width or bool((ids == separator).any())):
+                        raise ValueError(f"ids must fit {width} bytes and differ from the separator {separator}")
                     out.write(np.append(ids, separator).astype(kind).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -90,7 +93,8 @@ def _found(files: DataFrame, separator: int, width: int, block_bytes: int) -> Da
     sized = files.select("path").mapInArrow(size, "path string, size long").where("size > 0")
     last = F.floor((F.col("size") - 1) / block_bytes).cast("long")
     blocks = sized.select("path", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block"), "size")
-    return blocks.repartition("path", "block").mapInArrow(search, schema)
+    total = sized.agg(F.sum("size")).first()[0] or 0
+    return blocks.repartition(tasks_for(total, files.sparkSession), "path", "block").mapInArrow(search, schema)
 
 
 def scan(files: DataFrame, separator: int = SEPARATOR, width: int = WIDTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -11,11 +11,14 @@ ranges of neighbouring records, each range a task's work of bounded size. No
 package is read whole or unpacked.
 
 Packages are written under fresh names; only those of tasks that ended well
-are in the returned table, so a repeated task does no harm.
+are in the returned table, so a repeated task does no harm. A package is closed when it holds ``package_bytes``, and
+the task goes on with the next; that every row became a record is checked. Ranges are dealt to a number of tasks that
+follows from the bytes to be read.
 
 Defined results: a null or empty html is an empty payload, which is compared like any other
 if ``least_bytes`` allows. Rows that repeat the largest page_id of a payload
-are responses each; a page without id never has precedence over one with an id.
+are responses each; a page without id never has precedence over one with an id. An empty table gives an
+empty one. A very long html is a record of its own, larger than ``range_bytes`` as it may be. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import itertools
 import json
 import struct
 import uuid
@@ -32,9 +36,9 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
-from weirstone.llm.runtime import scratch, stored
+from weirstone.llm.runtime import scratch, stored, tasks_for
 
 PACKAGE_BYTES = 256 << 20
 RANGE_BYTES = 1 << 20
@@ -93,16 +97,17 @@ def decided(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 
 
 def write(pages: DataFrame, folder: str, least_bytes: int = 0, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
-    """The packages (path, records) that hold a record for each row of ``pages`` (page_id, url, html)."""
+    """The packages (path, records, bytes) that hold a record for each row of ``pages`` (page_id, url, html)."""
 
-    def package(rows: Iterator[dict]) -> tuple[str, int]:
+    def package(head: dict, rows: Iterator[dict]) -> tuple[str, int, int]:
         path = f"{folder}/{uuid.uuid4().hex}.wacz"
         system, local = _place(path)
         system.create_dir(local.rpartition("/")[0], recursive=True)
         index, at = [], 0
         with system.open_output_stream(local) as out, zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as archive:
             with archive.open(zipfile.ZipInfo("archive/data.warc.gz"), "w", force_zip64=True) as member:
-                for r in rows:
+                # a chain, not a generator: ending the loop early leaves ``rows`` open for the next package
+                for r in itertools.chain([head], rows):
                     raw = record(r["page_id"], r["url"], r["html"].encode(), bytes.fromhex(r["sha1"]), r["refers_to"])
                     packed = gzip.compress(raw, 3, mtime=0)
                     member.write(packed)
@@ -112,20 +117,20 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0, package_bytes: in
                         break
             archive.writestr(zipfile.ZipInfo("indexes/index.cdx"), "".join(index))
             archive.writestr(zipfile.ZipInfo("datapackage.json"), json.dumps({"profile": "data-package", "wacz_version": "1.1.1"}))
-        return path, len(index)
+        return path, len(index), at
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for at in range(0, len(batch), 500) for row in batch.slice(at, 500).to_pylist())
         for head in rows:
-            path, number = package(_with(head, rows))
-            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([number])], ["path", "records"])
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in package(head, rows)], ["path", "records", "bytes"])
 
-    return stored(decided(pages, least_bytes).mapInArrow(put, "path string, records long"), "packages")
-
-
-def _with(head: dict, rows: Iterator[dict]) -> Iterator[dict]:
-    yield head
-    yield from rows
+    seen = Observation()
+    given = decided(pages, least_bytes).observe(seen, F.count(F.lit(1)).alias("rows"))
+    packages = stored(given.mapInArrow(put, "path string, records long, bytes long"), "packages")
+    written = packages.agg(F.coalesce(F.sum("records"), F.lit(0)).alias("records")).first()["records"]
+    if written != seen.get["rows"]:
+        raise RuntimeError(f"{written} records written for {seen.get['rows']} pages")
+    return packages
 
 
 def directory(read: Callable[[int, int], bytes], size: int) -> Iterator[tuple[str, int, int, int]]:
@@ -244,7 +249,8 @@ def records(packages: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
                     ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
                 )
 
-    spread = index.mapInArrow(ranges, "path string, start long, length long").repartition("path", "start")
+    ranged = index.mapInArrow(ranges, "path string, start long, length long")
+    spread = ranged.repartition(tasks_for(packages.agg(F.sum("bytes")).first()[0] or 0, packages.sparkSession), "path", "start")
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     return spread.mapInArrow(read, schema)
 
