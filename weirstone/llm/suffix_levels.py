@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weirstone.llm.bottom_k import _marked, _only
 from weirstone.llm.runtime import remove, scratch, stored
-from weirstone.llm.textbytes import Chunk, chunks, mix, prefix_hash, range_hash
+from weirstone.llm.textbytes import Chunk, chunks, mix, range_hash, window_hash
 
 LENGTH = 200
 GRAM = 32
@@ -66,9 +66,8 @@ def _runs(chunk: Chunk, length: int, gram: int) -> Iterator[tuple[np.ndarray, ..
         data = chunk.data[low:high]
         if len(data) < length:
             continue
-        prefix = prefix_hash(data)
         place = np.arange(len(data) - gram + 1)
-        grams = range_hash(prefix, place, place + gram)
+        grams = window_hash(data, gram)
         least = (grams >> _U(24) << _U(24)) | place.astype(_U)
         reach = 1
         while 2 * reach <= window:
@@ -86,7 +85,7 @@ def _runs(chunk: Chunk, length: int, gram: int) -> Iterator[tuple[np.ndarray, ..
         keep = row[first] >= 0
         first, last = first[keep], last[keep]
         at, owner = anchor[first], row[first]
-        context = mix(range_hash(prefix, first, last + length) + (at - first).astype(_U))
+        context = mix(range_hash(data, first, last + length) + (at - first).astype(_U))
         base = chunk.offsets[owner] - low
         yield owner, first - base, last - base, grams[at], context
 
@@ -178,12 +177,12 @@ def _hashed(pieces: pa.Array | pa.ChunkedArray, length: int) -> tuple[np.ndarray
     """Of the windows of all pieces in order: piece, offset in it, hash."""
     raw = pieces.to_pylist()
     sizes = np.array([len(p) for p in raw], np.int64)
-    prefix = prefix_hash(np.frombuffer(b"".join(raw), np.uint8))
+    data = np.frombuffer(b"".join(raw), np.uint8)
     number = sizes - length + 1
     owner = np.repeat(np.arange(len(raw)), number)
     offset = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
     start = (np.cumsum(sizes) - sizes)[owner] + offset
-    return owner, offset, range_hash(prefix, start, start + length)
+    return owner, offset, window_hash(data, length)[start]
 
 
 def _met(pieces: DataFrame, length: int) -> DataFrame:

@@ -2,12 +2,15 @@
 
 A batch of Arrow strings is cut into chunks of about a quarter megabyte (a longer text
 is a chunk of its own), and every helper works on the bytes of a chunk at once.
-Hashes are polynomials modulo 2**64 with an odd base, so the hash of any range
-follows from two prefix sums; ``mix`` then spreads them over all bits.
+Hashes of byte ranges take in eight bytes at a time, each step a multiplication and a shift that
+feeds high bits back (no polynomial, whose value modulo 2**64 structured texts share), and bytes beyond
+the 4096th of a range by BLAKE2; ranges of different length start differently. Two texts have the same
+hash by chance only, about once in 2**64 pairs.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,8 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 18
-_BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
+STEPS = 512
 
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -32,30 +34,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _geometric(ratio: int, n: int) -> np.ndarray:
-    out = np.empty(n, np.uint64)
-    out[0] = 1
-    have = 1
-    while have < n:
-        step = min(have, n - have)
-        out[have : have + step] = out[:step] * np.uint64(pow(ratio, have, 1 << 64))
-        have += step
-    return out
-
-
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(ratio: int, n: int) -> np.ndarray:
-    """ratio**0, ratio**1, ... modulo 2**64; kept for the life of the worker up to a few chunks' length."""
-    if n > 16 * CHUNK_BYTES:
-        return _geometric(ratio, n)
-    if ratio not in _powers or len(_powers[ratio]) < n:
-        _powers[ratio] = _geometric(ratio, max(n, CHUNK_BYTES + 65536))
-    return _powers[ratio][:n]
+_FIRST, _SECOND, _LENGTH = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0xD6E8FEB86659FD93))
+_HELD = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n of eight bytes
 
 
 @dataclass
@@ -90,20 +70,44 @@ def chunks(texts: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES) -> Iterat
         row = end
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Prefix sums whose differences hash ranges of the bytes; one longer than the data."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.take(_BYTE, data, out=out[1:])
-    out[1:] *= powers(_BASE, len(data))
-    np.cumsum(out, out=out)
-    return out
+def _step(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(32))
+    x *= _SECOND
+    return x ^ (x >> np.uint64(29))
 
 
-def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the byte ranges; equal bytes give equal hashes wherever they stand."""
-    inverse = powers(_INVERSE, len(prefix))
-    length = (end - start).astype(np.uint64)
-    return mix((prefix[end] - prefix[start]) * inverse[start] + length * np.uint64(0xD6E8FEB86659FD93))
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    length = end - start
+    out = mix((length + 1).astype(np.uint64) * _LENGTH)
+    live = np.arange(len(start))
+    at, left = start, length
+    for _ in range(STEPS):
+        if not len(live):
+            return out
+        out[live] = _step(out[live] * _FIRST ^ eight[at] & _HELD[np.minimum(left, 8)])
+        more = left > 8
+        if not more.all():
+            live, at, left = live[more], at[more], left[more]
+        at, left = at + 8, left - 8
+    for i, a, n in zip(live.tolist(), at.tolist(), left.tolist()):
+        rest = hashlib.blake2b(data[a : a + n], digest_size=8).digest()
+        out[i] ^= np.frombuffer(rest, "<u8")[0]
+    return _step(out)
+
+
+def window_hash(data: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of ``size`` bytes, from those of half the size."""
+    if len(data) < size:
+        return np.empty(0, np.uint64)
+    out, have = _BYTE[data], 1
+    while have < size:
+        step = min(have, size - have)
+        out = _step(out[: len(out) - step] * _FIRST ^ out[step:])
+        have += step
+    return out
 
 
 def words(chunk: Chunk, lower: bool = True, gaps: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -123,7 +127,7 @@ def words(chunk: Chunk, lower: bool = True, gaps: np.ndarray = WHITE) -> tuple[n
     before = np.ones(n, bool)
     before[:-1] = ~ink[1:]
     ends = np.flatnonzero(ink & (before | edge[1:])) + 1
-    return range_hash(prefix_hash(data), starts, ends), starts, ends, np.searchsorted(starts, chunk.offsets)
+    return range_hash(data, starts, ends), starts, ends, np.searchsorted(starts, chunk.offsets)
 
 
 _ORDER = mix(np.arange(1001, 1017, dtype=np.uint64)) | np.uint64(1)

@@ -9,7 +9,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from weirstone.llm.textbytes import LOWER, WHITE, Chunk, chunks, prefix_hash, range_hash
+from weirstone.llm.textbytes import LOWER, WHITE, Chunk, chunks, range_hash
 
 
 # Classes of bytes; what is in none of them is left to the tokenizer's own splitting.
@@ -116,7 +116,7 @@ class WordTokenizer:
         data, starts, ends, plain, first = pieces(chunk)
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(chunk) + 1, np.int64)
-        hashes = range_hash(prefix_hash(data), starts, ends)
+        hashes = range_hash(data, starts, ends)
         names, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.names) > self.keep:
             self._forget()
