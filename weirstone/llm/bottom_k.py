@@ -38,7 +38,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weirstone.llm.components import components
+from weirstone.llm.components import members, star_forest
 from weirstone.llm.runtime import if_small, stored, width
 from weirstone.llm.textbytes import chunks, mix, shingle_sets
 
@@ -47,6 +47,7 @@ UNIT = 1000
 BLOCK = 256
 SHORT = 64
 MARKS = 1 << 23
+PIECE_BITS = 1 << 15  # of Spark's bitmaps
 
 
 def least_shared(k: int, percent: int = 75, miss: float = 1e-9) -> int:
@@ -185,32 +186,39 @@ def inverted_lists(units: DataFrame, parts: int, k: int = K, percent: int = 75)
     return units.join(replies, "unit").mapInArrow(choose, "value long, node long")
 
 
-def _marked(nodes: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size that holds all the nodes, and by chance some others."""
+class Marks:
+    """A bitmap of ``MARKS`` bits that holds all the given ids, and by chance some others, sent to the tasks that look ids up.
+
+    Spark builds it: every task ors its ids into pieces of 4 KB, tasks' pieces are ored, and the
+    driver gets the 256 pieces. ``close`` takes it back from driver and executors when what was read with it is stored.
+    """
+
+    def __init__(self, ids: DataFrame):
+        place = F.pmod(F.col(ids.columns[0]), F.lit(MARKS)) + 1
+        pieces = ids.where(F.col(ids.columns[0]).isNotNull()).groupBy(F.bitmap_bucket_number(place).alias("piece"))
+        packed = np.zeros((MARKS // PIECE_BITS, PIECE_BITS // 8), np.uint8)
+        for row in pieces.agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect():
+            packed[row["piece"] - 1] = np.frombuffer(row["bits"], np.uint8)
+        self.sent = ids.sparkSession.sparkContext.broadcast(packed.tobytes())
+
+    def close(self) -> None:
+        self.sent.destroy()
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(MARKS, bool)
-        for batch in batches:
-            bits[batch.column(0).to_numpy() % MARKS] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()])], ["bits"])
 
-    out = np.zeros(MARKS // 8, np.uint8)
-    for row in nodes.coalesce(8).mapInArrow(mark, "bits binary").collect():
-        out |= np.frombuffer(row["bits"], np.uint8)
-    return np.unpackbits(out).astype(bool)
+def _bits(sent) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(sent.value, np.uint8), bitorder="little").astype(bool)
 
 
 def _held(batch: pa.RecordBatch, bits: np.ndarray, by: str) -> pa.RecordBatch:
     return batch.filter(pa.array(bits[batch.column(by).fill_null(0).to_numpy() % MARKS]))
 
 
-def _only(df: DataFrame, marks: np.ndarray, columns: list[str], by: str) -> DataFrame:
-    """The rows whose column ``by`` is marked."""
-    schema = df.select(columns).schema
-    packed = df.sparkSession.sparkContext.broadcast(np.packbits(marks))
+def _only(df: DataFrame, marks: Marks, columns: list[str], by: str, marked: bool = True) -> DataFrame:
+    """The rows whose column ``by`` is marked, or the others."""
+    schema, sent = df.select(columns).schema, marks.sent
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(packed.value).astype(bool)
+        bits = _bits(sent) == marked
         for batch in batches:
             yield _held(batch, bits, by)
 
@@ -265,13 +273,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -
     return _pair_with(pairs, texts, ["text"]).mapInArrow(judge, "a long, b long")
 
 
-def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """(node, text) of the wanted classes: one whole text of each."""
+def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, shingle: int) -> tuple[DataFrame, Marks]:
+    """(node, text) of the wanted classes, one whole text of each, and the marks to close when they have been read."""
     wanted = stored(reps.join(nodes, "node", "left_semi").select("node", "doc_id"), "wanted")
-    packed = docs.sparkSession.sparkContext.broadcast(np.packbits(_marked(wanted.select(F.coalesce("doc_id", F.lit(0))))))
+    marks = Marks(wanted.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id")))
+    sent = marks.sent
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(packed.value).astype(bool)
+        bits = _bits(sent)
         for batch in batches:
             batch = _held(batch, bits, "doc_id")
             for chunk in chunks(batch.column("text")):
@@ -286,7 +295,7 @@ def _texts(docs: DataFrame, reps: DataFrame, nodes: DataFrame, shingle: int) ->
 
     named = docs.select("doc_id", "text").mapInArrow(name, "node long, id long, text string")
     found = named.join(wanted, "node").where("id <=> doc_id")
-    return found.groupBy("node").agg(F.first("text").alias("text"))
+    return found.groupBy("node").agg(F.first("text").alias("text")), marks
 
 
 def _cross(apart: DataFrame) -> DataFrame:
@@ -379,13 +388,13 @@ def _across_blocks(apart: DataFrame, texts: DataFrame, percent: int, shingle: in
     return both.groupBy("block", "other").applyInPandas(compare, "a long, b long")
 
 
-def _spread(lists: DataFrame, edges: DataFrame | None, turn: int) -> DataFrame:
+def _spread(lists: DataFrame, forest: DataFrame | None, turn: int) -> DataFrame:
     """The members of lists that stand in several components, with their component and a pivot of the list."""
-    if edges is None:
+    if forest is None:
         state = lists.withColumn("component", F.col("node"))
     else:
-        grouped = components(edges)
-        state = lists.join(grouped, "node", "left").select("value", "node", F.coalesce("component", "node").alias("component"))
+        state = lists.join(members(forest), "node", "left")
+        state = state.select("value", "node", F.coalesce("component", "node").alias("component"))
     spread = state.groupBy("value").agg(
         F.min("component").alias("low"),
         F.max("component").alias("high"),
@@ -402,33 +411,38 @@ def link(docs: DataFrame, k: int = K, percent: int = 75, shingle: int = 5, round
     reps = stored(classes(signed), "classes")
     units = stored(_units(reps), "units")
     lists = stored(inverted_lists(units, 2 * width(spark), k, percent), "lists")
-    marks = _marked(lists.select("node"))
+    marks = Marks(lists.select("node"))
     some = stored(_only(reps, marks, ["node", "doc_id", "n", "sketch"], "node"), "candidates")
-    edges = tested = None
+    marks.close()
+    forest = tested = None
     for turn in range(rounds):
-        apart = _spread(lists, edges, turn)
+        apart = _spread(lists, forest, turn)
         other = F.col("pivot.node")
         found = apart.where(F.col("pivot.component") != F.col("component"))
         found = found.select(F.greatest("node", other).alias("a"), F.least("node", other).alias("b")).distinct()
         found = stored(found if tested is None else found.join(tested, ["a", "b"], "left_anti"), "pairs")
         new = _proved(docs, some, found, k, percent, shingle)
         tested = found if tested is None else tested.union(found)
-        edges = new if edges is None else edges.union(new)
-    apart = _spread(lists, edges, rounds)
+        forest = star_forest(new if forest is None else forest.union(new))
+    apart = _spread(lists, forest, rounds)
     short = _cross(apart.where(F.col("members") <= SHORT)).join(tested, ["a", "b"], "left_anti")
-    edges = edges.union(_proved(docs, some, stored(short, "pairs"), k, percent, shingle))
+    new = _proved(docs, some, stored(short, "pairs"), k, percent, shingle)
     long = apart.where(F.col("members") > SHORT)
     if not long.isEmpty():
-        texts = _texts(docs, some, long.select("node").distinct(), shingle)
-        edges = edges.union(stored(_across_blocks(long, texts, percent, shingle), "links"))
-    return signed, components(edges)
+        texts, marks = _texts(docs, some, long.select("node").distinct(), shingle)
+        new = new.union(stored(_across_blocks(long, texts, percent, shingle), "links"))
+        marks.close()
+    return signed, members(star_forest(forest.union(new)))
 
 
 def _proved(docs: DataFrame, some: DataFrame, pairs: DataFrame, k: int, percent: int, shingle: int) -> DataFrame:
     """Of the pairs (a, b), those that the sketches leave possible and the full sets confirm."""
     likely = stored(_likely(pairs, some, k, percent), "likely")
     nodes = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    return stored(_confirmed(likely, _texts(docs, some, nodes, shingle), percent, shingle), "links")
+    texts, marks = _texts(docs, some, nodes, shingle)
+    proved = stored(_confirmed(likely, texts, percent, shingle), "links")
+    marks.close()
+    return proved
 
 
 def near_duplicates(docs: DataFrame, k: int = K, percent: int = 75, shingle: int = 5) -> DataFrame:
@@ -482,7 +496,8 @@ def one_of_each(docs: DataFrame, k: int = K, percent: int = 75, shingle: int = 5
     gone = found.where("doc_id is not null").join(stay, "component").where(~same).select("doc_id")
     twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     twice = stored(twice.select("doc_id"), "repeated")
-    once = docs.join(if_small(gone.union(twice).distinct()), "doc_id", "left_anti").select(docs.columns)
+    left = stored(gone.union(twice).distinct(), "left-out")
+    once = docs.join(if_small(left), "doc_id", "left_anti").select(docs.columns)
     if twice.isEmpty() and found.where("doc_id is null").isEmpty():
         return once
     again = docs.join(if_small(twice), "doc_id", "left_semi").select(docs.columns)

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from weirstone.llm.bottom_k import _marked, _only
+from weirstone.llm.bottom_k import Marks, _bits, _only
 from weirstone.llm.runtime import remove, scratch, stored
 from weirstone.llm.textbytes import Chunk, chunks, mix, range_hash, window_hash
 
@@ -139,7 +139,7 @@ class Family:
 
     def matched(self) -> DataFrame:
         """(gram, context, n, contexts) of the entries whose gram occurs more than once."""
-        marks = _marked(self.hits)
+        marks = Marks(self.hits)
         entries = None
         for level, _ in self.levels.values():
             some = _only(level, marks, ["gram", "context", "n"], "gram")
@@ -234,11 +234,11 @@ def _met(pieces: DataFrame, length: int) -> DataFrame:
 def _counted(pieces: DataFrame, length: int) -> DataFrame:
     """The same as ``_met`` for grams of any number of contexts, one window at a time."""
 
-    def windows(rows: DataFrame, marks: np.ndarray | None) -> DataFrame:
-        packed = None if marks is None else rows.sparkSession.sparkContext.broadcast(np.packbits(marks))
+    def windows(rows: DataFrame, marks: Marks | None) -> DataFrame:
+        sent = None if marks is None else marks.sent
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bits = None if packed is None else np.unpackbits(packed.value).astype(bool)
+            bits = None if sent is None else _bits(sent)
             for batch in batches:
                 owner, offset, win = _hashed(batch.column("piece"), length)
                 win = win.view(np.int64)
@@ -252,13 +252,13 @@ def _counted(pieces: DataFrame, length: int) -> DataFrame:
 
     per_window = windows(pieces, None).groupBy("win").agg(F.min("context").alias("a"), F.max("context").alias("b"))
     twice = stored(per_window.where("a <> b").select("win"), "windows")
-    again = windows(pieces.where("n = 1"), _marked(twice)).join(twice, "win")
+    again = windows(pieces.where("n = 1"), Marks(twice)).join(twice, "win")
     return again.select("uid", "low", F.col("low").alias("high"))
 
 
 def _uid_texts(docs: DataFrame, uids: DataFrame) -> DataFrame:
     """One row (uid, text) of each wanted text; others fall to a bitmap before the shuffle."""
-    return _only(docs, _marked(uids), ["uid", "text"], "uid")
+    return _only(docs, Marks(uids), ["uid", "text"], "uid")
 
 
 def repeated_windows(docs: DataFrame, length: int, gram: int, batches: int) -> DataFrame:
@@ -270,7 +270,7 @@ def repeated_windows(docs: DataFrame, length: int, gram: int, batches: int) -> D
     for number in range(batches):
         family.add(found.where(batch == number))
     matched = family.matched()
-    marks = _marked(matched.select("gram").distinct())
+    marks = Marks(matched.select("gram").distinct())
     some = stored(
         _only(found, marks, ["uid", "low", "high", "gram", "context"], "gram").join(matched, ["gram", "context"]), "some"
     )
@@ -323,9 +323,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"],
             )
 
-    marks = _marked(spans.select("uid"))
+    marks = Marks(spans.select("uid"))
     held = _only(docs, marks, ["doc_id", "text", "uid"], "uid").join(spans, "uid", "left")
     none = F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")
-    free = _only(docs, ~marks, ["doc_id", "text", "uid"], "uid")
+    free = _only(docs, marks, ["doc_id", "text", "uid"], "uid", marked=False)
     rows = held.select("doc_id", "text", "spans").union(free.select("doc_id", "text", none))
     return rows.mapInArrow(cut, schema)
