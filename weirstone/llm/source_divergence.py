@@ -102,6 +102,8 @@ def kept_terms(counted: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     terms = stored(terms.select("lang", "term", "total", F.floor(F.log2("total")).cast("int").alias("band")), "terms")
     bands = terms.groupBy("lang", "band").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
     dealt = terms.join(bands, ["lang", "band"]).withColumn("chunk", F.pmod(F.xxhash64("term"), "chunks"))
+    # dealt by chunk: Spark would let a window stay as the join by band has dealt it
+    dealt = dealt.repartition("lang", "band", "chunk")
     order = Window.partitionBy("lang", "band", "chunk").orderBy("term")
     return dealt.withColumn("place", F.row_number().over(order) - 1).drop("chunks")
 
