@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weirstone.layout import Lake
@@ -45,6 +45,11 @@ def append_log(lake: Lake, rows: DataFrame, path: str) -> None:
         rows.coalesce(1).write.format(lake.storage).mode("append").save(path)
 
 
+def now_text() -> str:
+    """Now, in a form that sorts."""
+    return datetime.now(timezone.utc).isoformat(timespec="microseconds")
+
+
 def metric(
     layer: str, table: str, row_count: int, seconds: float, status: str = "success", error: str = ""
 ) -> tuple:
@@ -73,14 +78,31 @@ def record_metrics(spark: SparkSession, lake: Lake, metrics: Sequence[tuple]) ->
         log.warning("%d metric rows not recorded", len(metrics), exc_info=True)
 
 
+AUDIT_COLUMNS = ("processed_at", "etl_loaded_at")
+
+
+def content_digest(df: DataFrame) -> list[Column]:
+    """Aggregates over all rows that tell contents apart whatever the order of the rows: their hashes' sum and exclusive or."""
+    columns = [F.col(f"`{c}`") for c in df.columns if c not in AUDIT_COLUMNS]
+    # a NULL leaves a hash as it is, so where the NULLs are is hashed, too
+    row = F.xxhash64(*columns, F.concat(*[c.isNull().cast("string") for c in columns]))
+    return [F.sum(row.cast("decimal(38,0)")).alias("hash_sum"), F.bit_xor(row).alias("hash_xor")]
+
+
 def replace_table(
-    spark: SparkSession, lake: Lake, df: DataFrame, layer: str, table: str, metrics: list[tuple] | None = None
+    spark: SparkSession,
+    lake: Lake,
+    df: DataFrame,
+    layer: str,
+    table: str,
+    metrics: list[tuple] | None = None,
+    digests: dict[tuple[str, str], str] | None = None,
 ) -> int:
     """Overwrite a table, data and schema, and record the write. Returns the row count.
 
     The rows are counted by an observation riding on the write itself, so the
-    plan runs once. The metric row is appended at once, or left in ``metrics``
-    for a caller that writes many tables and records them together.
+    plan runs once; a digest of the content rides along if ``digests`` is there to take it. The metric
+    row is appended at once, or left in ``metrics`` for a caller that writes many tables and records them together.
     """
     started = time.monotonic()
     seen = Observation()
@@ -93,13 +115,17 @@ def replace_table(
             metrics.append(row)
 
     try:
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(lake.storage).mode("overwrite")
+        measures = [F.count(F.lit(1)).alias("rows"), *(content_digest(df) if digests is not None else ())]
+        writer = df.observe(seen, *measures).write.format(lake.storage).mode("overwrite")
         if lake.storage == "delta":
             writer = writer.option("overwriteSchema", "true")
         writer.save(lake.path(layer, table))
-        rows = seen.get["rows"]
+        got = seen.get
+        rows = got["rows"]
     except Exception as problem:
         record(0, time.monotonic() - started, "failed", str(problem))
         raise
+    if digests is not None:
+        digests[layer, table] = f"{rows}:{got['hash_sum']}:{got['hash_xor']}"
     record(rows, time.monotonic() - started)
     return rows
