@@ -138,7 +138,7 @@ def _orders_with_customer(orders: DataFrame, customers: DataFrame, dim: DataFram
     return resolve(orders, bridge, "customer_id", "customer_id", {"customer_sk": "customer_sk"})
 
 
-def fact_orders(
+def order_item_rows(
     items: DataFrame,
     orders: DataFrame,
     payments: DataFrame,
@@ -147,7 +147,7 @@ def fact_orders(
     dim_seller: DataFrame,
     dim_product: DataFrame,
 ) -> DataFrame:
-    """One row per order item; the payment total of the order is repeated on each of its items.
+    """The rows of the order fact, without a key of their own.
 
     Everything that depends on the order alone (customer, payments) is joined
     to the orders first. The items, the largest input, then meet them on the
@@ -164,7 +164,7 @@ def fact_orders(
     lines = lines.join(per_order.withColumn("_order", hashed), ["order_id", "_order"]).drop("_order")
     lines = resolve(lines, dim_seller, "seller_id", "seller_id", {"seller_sk": "seller_sk"})
     lines = resolve(lines, dim_product, "product_id", "product_id", {"product_sk": "product_sk"})
-    rows = lines.select(
+    return lines.select(
         "order_id",
         "order_item_id",
         clean.date_key(F.col("order_purchase_timestamp")).alias("date_sk"),
@@ -188,9 +188,26 @@ def fact_orders(
         "order_delivered_customer_date",
         "shipping_limit_date",
     )
+
+
+def numbered_order_items(rows: DataFrame) -> DataFrame:
     # items are not reduced per key, so an updated item is there twice
     ties = ["product_sk", "seller_sk", "unit_price", "freight_value", "shipping_limit_date"]
-    return _loaded(surrogate_key(rows, "order_item_sk", ["order_id", "order_item_id"], ties))
+    return surrogate_key(rows, "order_item_sk", ["order_id", "order_item_id"], ties)
+
+
+def fact_orders(
+    items: DataFrame,
+    orders: DataFrame,
+    payments: DataFrame,
+    customers: DataFrame,
+    dim_customer: DataFrame,
+    dim_seller: DataFrame,
+    dim_product: DataFrame,
+) -> DataFrame:
+    """One row per order item; the payment total of the order is repeated on each of its items."""
+    rows = order_item_rows(items, orders, payments, customers, dim_customer, dim_seller, dim_product)
+    return _loaded(numbered_order_items(rows))
 
 
 def fact_reviews(reviews: DataFrame, orders: DataFrame, customers: DataFrame, dim_customer: DataFrame) -> DataFrame:
