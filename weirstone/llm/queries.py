@@ -156,6 +156,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 #: Check SQL where SQL can say it; the other queries have brute-force tests.
 SQL: dict[str, str] = {
+    "op5_zip_warc": """
+        with digits as (
+            select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha1(coalesce(html, '')) as h from pages
+        ),
+        named as (
+            select *, array_to_string(list_transform(range(32), lambda i: substr(
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + (((('0x' || substr(h, 1 + 5 * (i // 4), 5))::bigint >> (15 - 5 * (i % 4))) & 31))::int, 1)), '') as payload_digest,
+                max(page_id) over (partition by h) as first
+            from digits
+        )
+        select page_id, payload_bytes, payload_digest,
+               case when page_id is not distinct from first then 'response' else 'revisit' end as record_type,
+               case when page_id is distinct from first then first end as refers_to
+        from named
+    """,
+    "op10_bottom_k": r"""
+        with recursive docs as (
+            select doc_id, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'
+            ), lambda w: w <> '') as w
+            from documents
+        ),
+        sets as (
+            select doc_id, case
+                when len(w) >= 5 then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))
+                when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s
+            from docs
+        ),
+        items as (select doc_id, len(s) as n, unnest(s) as g from sets),
+        shared as (
+            select a.doc_id as a, b.doc_id as b, any_value(a.n) as n, any_value(b.n) as m, count(*) as k
+            from items a join items b on a.g = b.g and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+        ),
+        links as (select a, b from shared where 100 * k >= 75 * (n + m - k)),
+        edges as (select a, b from links union all select b, a from links),
+        reach(doc_id, other) as (
+            select doc_id, doc_id from docs union select r.doc_id, e.b from reach r join edges e on e.a = r.other
+        ),
+        least as (select doc_id, min(other) as component_id from reach group by doc_id)
+        select doc_id, len(s)::bigint as n_shingles, component_id, doc_id = component_id as kept
+        from sets join least using (doc_id)
+    """,
     "op11_pivot_distance": """
         with usable as (
             select row_number() over () as own, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v
