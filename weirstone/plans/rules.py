@@ -63,6 +63,9 @@ def bronze_checks() -> dict[str, Check]:
     }
 
 
+# The check names, bounds and value lists in the three functions of checks.
+
+
 def silver_checks() -> dict[str, Check]:
     col = F.col
     return {
