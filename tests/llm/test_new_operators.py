@@ -57,6 +57,13 @@ def check_texts(spark, texts):
         assert row.n_words == len(words)
 
 
+def test_blocks_that_come_again_in_the_next_document_only():
+    first = [b"a%d" % i for i in range(160)]
+    second = [b"b%d" % i for i in range(150)]
+    second[31:63] = first[128:160]  # 64 words after the last block of the first document, the only match there is
+    assert periodic_runs._fragments([first, second]) == [[], []]
+
+
 def test_runs_of_random_repetitions(spark):
     chance = random.Random(5)
     texts = []

@@ -175,8 +175,8 @@ def _long_periods(a: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterat
                 doc = np.searchsorted(starts[:n], part, "right") - 1
                 within = part + columns + octave + m <= ends[doc]
                 part, columns, doc = part[within], columns[within], doc[within]
-                edges = np.flatnonzero(np.diff(part, prepend=-1)) if len(part) else part
-                for first, last in zip(edges, np.append(edges[1:], len(part)), strict=True):
+                edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))  # none if all that matched was another document's
+                for first, last in zip(edges, edges[1:], strict=False):
                     d = int(doc[first])
                     found += _tile(a, int(starts[d]), int(ends[d]), int(part[first]), columns[first:last] + octave, octave)
         if found:
