@@ -176,3 +176,48 @@ def test_stream_continues_from_its_checkpoint(spark, tmp_path):
     assert [r.seller_id for r in store.current(spark, "olist_sellers").collect()] == ["b"]
     done = store.manifest(spark)
     assert done.rows == {SELLERS: 3, ITEMS: 1} and done.offsets[SELLERS] == {"0": 2, "1": 1}
+
+
+def test_topics_of_larger_samples_get_more_partitions(spark, sample, monkeypatch):
+    from weirstone.bindings import feeds
+    from weirstone.bindings.workspace import Workspace
+
+    monkeypatch.setattr(feeds, "ROWS_PER_PARTITION", 500)
+    work = Workspace(spark, sample)
+    found = topic_log.segments(work.topic_log())
+    items = [s for s in found if s.topic == feeds.SOURCE_TABLES["olist_order_items"].topic]
+    rows, lines = sum(s.end - s.base for s in items), work.sample("lineitem").count()
+    assert rows >= lines and len({s.partition for s in items}) == -(-lines // 500)
+    assert max(s.end - s.base for s in items) < rows / 4  # the largest task of the append, four partitions at any size before
+    assert spark.read.format("topic_log").load(work.topic_log()).count() == sum(s.end - s.base for s in found)
+
+
+def test_sample_of_even_parts_is_read_where_it_lies(spark, sample, tmp_path):
+    from weirstone.bindings.workspace import Workspace
+
+    orders = spark.read.parquet(f"{sample}/orders.parquet")
+    many = orders.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(39)))).drop("i")
+    many.repartition(8).write.parquet(str(tmp_path / "even.parquet"))
+    many.coalesce(1).write.parquet(str(tmp_path / "one.parquet"))
+    work = Workspace(spark, str(tmp_path))
+    even, one = work.dealt_sample("even"), work.dealt_sample("one")
+    assert all("/samples/" not in name for name in even.inputFiles())
+    assert len(one.inputFiles()) >= 4 and all("/samples/one/" in name for name in one.inputFiles())
+    assert even.count() == one.count() == many.count()
+
+
+def test_bounds_given_or_read_make_the_same_ledger(spark, sample, tmp_path):
+    from weirstone.bindings.workspace import Workspace
+    from weirstone.streaming.store import TopicStore
+
+    root = Workspace(spark, sample).topic_log()
+    ends = topic_log.ends(topic_log.segments(root))
+    log = spark.read.format("topic_log").load(root)
+    read, given = (TopicStore(str(tmp_path / name)) for name in ("read", "given"))
+    read.absorb(log, 0)
+    given.absorb(log, 0, until=ends)
+    assert read.manifest(spark).offsets == given.manifest(spark).offsets == ends
+    rows = given.current(spark, "olist_orders")
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()  # one part a cell: nothing to compare
+    given.absorb(log, 1, until=ends)  # two parts a cell
+    assert given.current(spark, "olist_orders").exceptAll(rows).isEmpty() and rows.exceptAll(given.current(spark, "olist_orders")).isEmpty()
