@@ -150,20 +150,20 @@ def order_item_rows(
     """The rows of the order fact, without a key of their own.
 
     Everything that depends on the order alone (customer, payments) is joined
-    to the orders first. The items, the largest input, then meet them on the
+    to the orders first. The items, the largest input, look up their own
+    dimensions while they are narrow, where a dimension too large to
+    broadcast shuffles them once more each, and then meet the orders on the
     order_id and its hash: the second key makes both sides shuffle directly
     under the join, which is what adaptive execution needs to split an order
-    that holds a large share of the items. Lookups of dimensions too large to
-    broadcast shuffle the rows once more each.
+    that holds a large share of the items.
     """
     per_order = _orders_with_customer(orders, customers, dim_customer).join(
         _payments_per_order(payments), "order_id", "left"
     )
     hashed = F.xxhash64("order_id")
-    lines = items.drop("processed_at").withColumn("_order", hashed)
-    lines = lines.join(per_order.withColumn("_order", hashed), ["order_id", "_order"]).drop("_order")
-    lines = resolve(lines, dim_seller, "seller_id", "seller_id", {"seller_sk": "seller_sk"})
+    lines = resolve(items.drop("processed_at"), dim_seller, "seller_id", "seller_id", {"seller_sk": "seller_sk"})
     lines = resolve(lines, dim_product, "product_id", "product_id", {"product_sk": "product_sk"})
+    lines = lines.withColumn("_order", hashed).join(per_order.withColumn("_order", hashed), ["order_id", "_order"])
     return lines.select(
         "order_id",
         "order_item_id",
