@@ -92,3 +92,25 @@ def test_every_gold_table_is_keyed_by_its_builder(spark, golden):
     for table in GOLD:
         first = derived(spark, golden, "gold", table).columns[0]
         assert first.endswith("_sk"), table
+
+
+def test_what_follows_from_other_columns_is_not_shuffled(spark, golden, no_broadcast):
+    """The last shuffle of the facts carries each value once, and no hash of the order id goes through any."""
+    for table, made in (
+        ("fact_orders", ("date_sk", "status_category", "total_item_value")),
+        ("fact_reviews", ("date_sk", "is_positive", "is_neutral", "is_negative")),
+    ):
+        plan = plan_of(derived(spark, golden, "gold", table))
+        below = plan[plan.index("Exchange hashpartitioning(_bucket") :]
+        assert not any(f" AS {name}#" in below for name in made), table
+    assert "xxhash64" not in plan_of(derived(spark, golden, "gold", "fact_orders"))
+
+
+def test_tables_are_stored_compressed_by_zstd(golden):
+    import pyarrow.parquet as pq
+    from pathlib import Path
+
+    lake, _ = golden
+    for layer, table in (("bronze", "olist_orders"), ("silver", "olist_orders"), ("gold", "fact_orders")):
+        file = max(Path(lake.path(layer, table)).glob("*.parquet"), key=lambda f: f.stat().st_size)
+        assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
