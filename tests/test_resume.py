@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirstone.operators.profile import Profile
-from weirstone.operators.quality import Check, Result, validate
+from weirstone.operators.quality import Check, Result, gate, validate
 from weirstone.plans import resume as module
 from weirstone.plans.pipeline import GateFailed
 from weirstone.plans.silver import Build
@@ -129,3 +129,39 @@ def test_profile_tells_nulls_apart(spark, tmp_path):
     found = profile.absorb(spark.createDataFrame([(1, None), (None, 1), (None, None)], schema), 1)
     assert found[-1] == Result("t", "no_duplicates", True, "0 duplicates")
     assert profile.absorb(spark.createDataFrame([(None, 1)], schema), 2)[-1].detail == "1 duplicates"
+
+
+def test_a_gate_reads_only_tables_that_changed(spark, lake, small, monkeypatch):
+    """Of a gate that has failed, tables keep their verdict while their content and their checks are the same."""
+    asked, bound = [], {"v": 100}
+
+    def counting(_spark, _lake, layer, checks, parallel, verdicts):
+        asked.append((layer, sorted(checks)))
+        return gate(_spark, _lake, layer, checks, parallel, verdicts)
+
+    def checks():
+        return {"olist_orders": Check(rules={"small": F.col("v") < bound["v"]}), "olist_sellers": Check(rules={"none": F.col("v") < 0})}
+
+    def outcome():
+        asked.clear()
+        return module.resume(spark, lake, enforce_gates=False).gates["bronze"], [tables for layer, tables in asked if layer == "bronze"]
+
+    monkeypatch.setattr(module, "gate", counting)
+    monkeypatch.setattr(module, "CHECKS", {"bronze": checks, "silver": dict, "gold": dict})
+    assert outcome() == (False, [["olist_orders", "olist_sellers"]])
+    assert outcome() == (False, [])
+    put(spark, lake, "olist_orders", range(10))
+    assert outcome() == (False, [["olist_orders"]])
+    bound["v"] = 5  # the check is another one
+    assert outcome() == (False, [["olist_orders"]])
+    put(spark, lake, "olist_sellers", [-1])
+    assert outcome() == (False, [["olist_sellers"]])  # orders keep theirs, which has failed
+    bound["v"] = 100
+    assert outcome() == (True, [["olist_orders"]])
+
+
+def test_a_table_that_cannot_be_read_gets_no_verdict_to_keep(spark, lake):
+    verdicts = {}
+    put(spark, lake, "olist_orders", range(3))
+    assert gate(spark, lake, "bronze", {"olist_orders": Check(), "olist_sellers": Check()}, 2, verdicts) is False
+    assert verdicts == {"olist_orders": True}
