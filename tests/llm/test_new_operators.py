@@ -196,6 +196,25 @@ def test_bounds_leave_out_annuli(spark):
     assert 0 < visits < len(index.directory) / 4
 
 
+def test_visits_do_not_pass_through_the_driver(spark, monkeypatch):
+    chance = np.random.default_rng(5)
+    rows = [(i, chance.normal(size=16).tolist()) for i in range(3000)]
+    plans, stored = [], pivot_distance.stored
+
+    def noted(df, name, *more):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name, *more)
+
+    monkeypatch.setattr(pivot_distance, "stored", noted)
+    assert len(found(spark, rows)) == 60 * 5
+    meetings = [plan for name, plan in plans if name == "best"]
+    assert len(meetings) > 1
+    # a broadcast goes through the driver; visits are as many as queries times annuli
+    for plan in meetings:
+        assert "SortMergeJoin [annulus" in plan
+        assert "BroadcastHashJoin [annulus" not in plan
+
+
 def test_search_edges(spark):
     rows = [
         (0, [1.0, 2.0]), (50, None), (100, [None, 1.0]), (150, [float("nan"), 1.0]), (200, [float("inf"), 1.0]), (250, []), (None, [1.0]),

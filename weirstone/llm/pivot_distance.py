@@ -13,7 +13,7 @@ inequality a vector at distance r from pivot p is at least |d(q, p) - r| from
 query q, which bounds its score from above. Each query goes through its annuli from
 the best bound down, 8, then 64, then 512 ... of them, and leaves out those whose
 bound is under its k-th best score so far; so it stops when no bound reaches it. A visit is a join of query
-blocks and row blocks on (annulus, part); parts of an annulus are 64 blocks, so a
+blocks and row blocks on (annulus, part), both shuffled; parts of an annulus are 64 blocks, so a
 hot one is spread over tasks. The result is exact: bounds have slack
 for rounding, and scores are exact integers (float64 products while they stay below 2^53,
 Python integers beyond; a score outside 64 bits is returned as the nearest 64-bit value).
@@ -313,7 +313,8 @@ def search(index: Index | None, queries: Column, k: int, spark) -> DataFrame:
     order = Window.partitionBy("number", "place").orderBy(F.desc("value"), "vec_id", "row")
     while True:
         asked = waiting if best is None else _raised(waiting, best, k)
-        visits = asked.mapInArrow(_visits(index, begin, end), _VISITS)
+        # the planner takes visits to be as small as the queries, though there are up to one per query and annulus: never broadcast
+        visits = asked.mapInArrow(_visits(index, begin, end), _VISITS).hint("shuffle_merge")
         met = visits.join(index.blocks, ["annulus", "part"])
         met = met.select("number", "places", "q_rows", "q_ids", "floors", "q_kind", "q_vectors", "rows", "ids", "kind", "vectors")
         found = met.mapInArrow(_scored(k), _SCORED)
