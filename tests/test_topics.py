@@ -5,6 +5,7 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from weirstone.operators.latest import latest_images
@@ -140,6 +141,23 @@ def test_a_fold_touches_full_cells_only(spark, tmp_path):
     assert store.current(spark, "olist_sellers").count() == 21
 
 
+def test_a_fold_shuffles_events_once(spark, tmp_path, monkeypatch):
+    plans, written = [], DataFrameWriter.parquet
+
+    def noted(writer, path, *args, **kwargs):
+        plans.append((path, writer._df._jdf.queryExecution().executedPlan().toString()))
+        return written(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    store = TopicStore(str(tmp_path / "store"), buckets=3, fold_after=1)
+    for number, batch in enumerate(batches(spark, [[("c", n, f"k{n % 40}", f"v{n}") for n in range(k, 200, 2)] for k in (0, 1)])):
+        store.absorb(batch, number)
+    folds = [plan for path, plan in plans if "/part=f" in path]
+    assert len(folds) == 1 and folds[0].count("Exchange hashpartitioning") == 1
+    rows = {r.seller_id: r.seller_city for r in store.current(spark, "olist_sellers").collect()}
+    assert rows == {f"k{n % 40}": f"v{n}" for n in range(200)}
+
+
 def test_killed_and_repeated_batches(spark, tmp_path, monkeypatch):
     store = TopicStore(str(tmp_path / "store"), buckets=2, fold_after=1)
     first, second = batches(spark, [[("c", 1, "a", "x"), ("c", 1, "b", "y")], [("u", 2, "a", "z"), ("d", 2, "b", None)]])
