@@ -111,3 +111,15 @@ def test_keys_are_those_of_a_full_build(spark, tmp_path):
     facts.rebuild(frames(spark, world(orders, {"c0": "u0"}, keys)))
     numbered = facts.numbered(spark)
     assert numbered.select(F.count_distinct("order_item_sk")).first()[0] == 30 and numbered.columns[0] == "order_item_sk"
+
+
+def test_replaced_states_of_a_run_are_removed(spark, sample):
+    from weirstone.bindings.queries import QUERIES
+    from weirstone.bindings.workspace import Workspace
+
+    ws = Workspace(spark, sample)
+    assert QUERIES["fact_orders_incremental"](ws).count() > 0
+    (run,) = Path(ws.root.removeprefix("file:")).glob("incremental-*")
+    states = [d.name for d in run.glob("[0-9]/*") if d.is_dir()]
+    assert all(states.count(t) == 1 for t in ("olist_orders", "olist_customers", "olist_products", "dim_customer", "dim_product"))
+    assert states.count("olist_order_items") > 1  # its later folders hold added rows only
